@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from geoloom.plans import q_inventory, q_metrics  # noqa: F401
+from geoloom.plans import q_grid, q_inventory, q_metrics  # noqa: F401
 from geoloom.plans.registry import ORACLES, QUERIES  # noqa: F401

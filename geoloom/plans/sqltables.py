@@ -13,11 +13,13 @@ PIXELS = """pixels AS (
          CAST(i - 1 AS INTEGER) AS c, CAST(embedding[i] AS DOUBLE) AS v
   FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings))"""
 
-MASK = PIXELS + """, mask AS (
+MASK_ONLY = """mask AS (
   SELECT raster_id, r, c,
          CASE WHEN v > 0.18 THEN 3 WHEN v > 0.12 THEN 2 WHEN v > 0.06 THEN 1 ELSE 0 END AS class_id
   FROM pixels)"""
 
+MASK = PIXELS + ", " + MASK_ONLY
+
 MASK_PAIR = PIXELS + """, pair AS (
   SELECT raster_id, r, c,
          CASE WHEN v > 0.18 THEN 3 WHEN v > 0.12 THEN 2 WHEN v > 0.06 THEN 1 ELSE 0 END AS target,
