@@ -6,6 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once: it becomes a lambda variable, where a
+    plain reuse would repeat its whole expression."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def xs(rings: Column) -> Column:
     return F.transform(F.flatten(rings), lambda p: p["x"])
 
@@ -61,23 +67,23 @@ def is_valid_polygon(rings: Column) -> Column:
 def polygon_centroid(rings: Column) -> Column:
     """Area centroid; rings after the first are holes."""
     origin = F.element_at(F.element_at(rings, 1), 1)
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
-    def moments(ring: Column, i: Column) -> Column:
-        m = F.aggregate(
-            ring_edges(ring),
-            F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")),
-            lambda acc, e: _add_moment(acc, e, origin),
-        )
+    def weighted(m: Column, i: Column) -> Column:
         sign = F.signum(m["a"]) * F.when(i == 0, 1.0).otherwise(-1.0)
-        return F.struct(
-            (m["a"] * sign).alias("a"), (m["x"] * sign).alias("x"), (m["y"] * sign).alias("y")
-        )
+        return F.struct(*[(m[f] * sign).alias(f) for f in ("a", "x", "y")])
 
-    per_ring = F.transform(rings, moments)
-    total = lambda f: F.aggregate(per_ring, F.lit(0.0), lambda acc, m: acc + m[f])
-    return F.struct(
-        (origin["x"] + total("x") / (3 * total("a"))).alias("x"),
-        (origin["y"] + total("y") / (3 * total("a"))).alias("y"),
+    def moments(ring: Column, i: Column) -> Column:
+        total = F.aggregate(ring_edges(ring), zero, lambda acc, e: _add_moment(acc, e, origin))
+        return let(total, lambda m: weighted(m, i))
+
+    add = lambda acc, m: F.struct(*[(acc[f] + m[f]).alias(f) for f in ("a", "x", "y")])
+    return let(
+        F.aggregate(F.transform(rings, moments), zero, add),
+        lambda m: F.struct(
+            (origin["x"] + m["x"] / (3 * m["a"])).alias("x"),
+            (origin["y"] + m["y"] / (3 * m["a"])).alias("y"),
+        ),
     )
 
 
@@ -94,14 +100,20 @@ def _add_moment(acc: Column, e: Column, origin: Column) -> Column:
 
 def line_centroid(rings: Column) -> Column:
     """Length-weighted midpoint of all segments."""
-    length = lambda e: F.sqrt(
-        F.pow(e["x2"] - e["x1"], F.lit(2)) + F.pow(e["y2"] - e["y1"], F.lit(2))
-    )
-    total = F.aggregate(edges(rings), F.lit(0.0), lambda acc, e: acc + length(e))
-    mid = lambda a, b: F.aggregate(
-        edges(rings), F.lit(0.0), lambda acc, e: acc + length(e) * (e[a] + e[b]) / 2
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+
+    def add(acc: Column, e: Column) -> Column:
+        n = F.hypot(e["x2"] - e["x1"], e["y2"] - e["y1"])
+        return F.struct(
+            (acc["n"] + n).alias("n"),
+            (acc["x"] + n * (e["x1"] + e["x2"]) / 2).alias("x"),
+            (acc["y"] + n * (e["y1"] + e["y2"]) / 2).alias("y"),
+        )
+
+    return let(
+        F.aggregate(edges(rings), zero, add),
+        lambda m: F.struct((m["x"] / m["n"]).alias("x"), (m["y"] / m["n"]).alias("y")),
     )
-    return F.struct((mid("x1", "x2") / total).alias("x"), (mid("y1", "y2") / total).alias("y"))
 
 
 def point_centroid(rings: Column) -> Column:

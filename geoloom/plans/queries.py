@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from geoloom.plans import q_detect, q_grid, q_inventory, q_labels, q_metrics  # noqa: F401
+from geoloom.plans import q_detect, q_grid, q_inventory, q_labels, q_metrics, q_vector  # noqa: F401
 from geoloom.plans.registry import ORACLES, QUERIES  # noqa: F401
