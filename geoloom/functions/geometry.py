@@ -64,13 +64,14 @@ def is_valid_polygon(rings: Column) -> Column:
     return is_present(rings) & F.coalesce(F.forall(rings, ok), F.lit(False))
 
 
-def polygon_centroid(rings: Column) -> Column:
-    """Area centroid; rings after the first are holes."""
+def polygon_centroid(rings: Column, by_orientation: bool = False) -> Column:
+    """Area centroid.  Rings after the first are holes, or, ``by_orientation``, those
+    that run against the first one (parts of a multipolygon)."""
     origin = F.element_at(F.element_at(rings, 1), 1)
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
     def weighted(m: Column, i: Column) -> Column:
-        sign = F.signum(m["a"]) * F.when(i == 0, 1.0).otherwise(-1.0)
+        sign = F.lit(1.0) if by_orientation else F.signum(m["a"]) * F.when(i == 0, 1.0).otherwise(-1.0)
         return F.struct(*[(m[f] * sign).alias(f) for f in ("a", "x", "y")])
 
     def moments(ring: Column, i: Column) -> Column:
@@ -124,7 +125,8 @@ def point_centroid(rings: Column) -> Column:
 
 def centroid(rings: Column, geom_type: Column) -> Column:
     return (
-        F.when(geom_type.isin("Polygon", "MultiPolygon"), polygon_centroid(rings))
+        F.when(geom_type == "Polygon", polygon_centroid(rings))
+        .when(geom_type == "MultiPolygon", polygon_centroid(rings, by_orientation=True))
         .when(geom_type.isin("LineString", "MultiLineString"), line_centroid(rings))
         .otherwise(point_centroid(rings))
     )
