@@ -240,10 +240,10 @@ def average_precision(
         {"rank": ("sum", F.lit(1).cast("bigint"))},
     )
     hits = ranks.join(matches.select("raster_id", "class_id", "det_id", "t"), ["raster_id", "class_id", "det_id"])
-    by_rank = [F.col("rank")]
-    hits = running(hits, ["class_id", "t"], by_rank, {"tp": ("sum", F.lit(1).cast("bigint"))})
+    hits = running(hits, ["class_id", "t"], [F.col("rank")], {"tp": ("sum", F.lit(1).cast("bigint"))})
     hits = hits.withColumn("precision", F.col("tp") / F.col("rank"))
-    hits = running(hits, ["class_id", "t"], by_rank, {"envelope": ("max", F.col("precision"))}, reverse=True)
+    back = [F.col("rank").desc()]
+    hits = running(hits, ["class_id", "t"], back, {"envelope": ("max", F.col("precision"))})
     area = hits.groupBy("class_id", "t").agg(F.sum("envelope").alias("s"))
     grid = spark.range(num_classes).select(F.col("id").cast("int").alias("class_id"), F.explode(ts).alias("t"))
     return (

@@ -38,22 +38,21 @@ def running(
     keys: list[str],
     order: list[Column],
     scans: dict[str, tuple[str, Column]],
-    reverse: bool = False,
     inclusive: bool = True,
 ) -> DataFrame:
     """Add running ``sum`` or ``max`` columns along ``order`` within ``keys``.
 
-    ``scans`` maps a new column to ``(fn, value)``.  ``reverse`` scans from the
-    last row back; ``inclusive=False`` leaves the current row out.
+    ``scans`` maps a new column to ``(fn, value)``; ``inclusive=False`` leaves the
+    current row out.  To scan from the last row back, pass the opposite order: a frame
+    that ends at the last row would be summed up anew for every row.
     """
     agg: dict[str, Callable[[Column], Column]] = {"sum": F.sum, "max": F.max}
     base = _sliced(df, keys, order)
     for name, (_, value) in scans.items():
         base = base.withColumn(f"_v_{name}", value)
 
-    lo, hi = Window.unboundedPreceding, Window.unboundedFollowing
-    before = (1, hi) if reverse else (lo, -1)
-    until = (0, hi) if reverse else (lo, 0)
+    before = (Window.unboundedPreceding, -1)
+    until = (Window.unboundedPreceding, 0)
 
     totals = base.groupBy(*keys, "_slice").agg(
         *[agg[fn](f"_v_{n}").alias(f"_t_{n}") for n, (fn, _) in scans.items()]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geoloom.functions import geometry as G
 from geoloom.functions.raster import floor_index, trunc_index
 
-# Polygons taller than this are spread over row bands before they are filled.
+# Rows of a polygon that are filled together.
 BAND_ROWS = 1024
 
 
@@ -153,7 +153,7 @@ def _fill(polygons: DataFrame) -> DataFrame:
             ),
         )
 
-    crossings = F.array_sort(F.transform(crossing, x_at))
+    crossings = F.sort_array(F.transform(crossing, x_at))
     out = polygons.withColumn("_s", F.explode(G.let(crossings, spans)))
     return out.withColumn("c", F.explode(_seq(F.col("_s.c1"), F.col("_s.c2"))))
 
@@ -163,18 +163,13 @@ def _polygon_pixels(features: DataFrame) -> DataFrame:
     boxed = boxed.withColumn("_r1", F.greatest(F.lit(0), F.floor("_y1")).cast("int")).withColumn(
         "_r2", F.least(F.col("height") - 1, F.floor("_y2")).cast("int")
     )
-    keep = ["raster_id", "layer_ord", "class_id", "width", "_edges", "_r1", "_r2"]
-    tall = F.col("_r2") - F.col("_r1") >= BAND_ROWS
-    low = boxed.filter(~tall).select(*keep)
-    # A lake-sized polygon would keep one task busy: its rows are shared out by band.
-    bands = boxed.filter(tall).select(
-        *[c for c in keep if c not in ("_r1", "_r2")], "feature_id",
-        F.explode(F.sequence(F.col("_r1"), F.col("_r2"), F.lit(BAND_ROWS))).alias("_b"), "_r2",
+    # A layer is often one file and a lake may span the raster, so features are cut into
+    # row bands and spread evenly before they fan out to pixels.
+    bands = boxed.filter("_r1 <= _r2").select(
+        "raster_id", "feature_id", "layer_ord", "class_id", "width", "_edges", "_r2",
+        F.explode(F.sequence(F.col("_r1"), F.col("_r2"), F.lit(BAND_ROWS))).alias("_b"),
     ).repartition("raster_id", "feature_id", "_b")
-    high = bands.withColumn("_r1", F.col("_b")).withColumn(
-        "_r2", F.least(F.col("_r2"), F.col("_b") + BAND_ROWS - 1)
-    ).select(*keep)
-    rows = low.unionByName(high).withColumn("r", F.explode(_seq(F.col("_r1"), F.col("_r2"))))
+    rows = bands.withColumn("r", F.explode(_seq(F.col("_b"), F.least(F.col("_r2"), F.col("_b") + BAND_ROWS - 1))))
     return _fill(rows).select("raster_id", "layer_ord", "class_id", "r", "c")
 
 

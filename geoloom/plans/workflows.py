@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.functions.text import layer_stem
 from geoloom.model import (
     INFRA_CLASSES,
     ROOF_CLASSES,
@@ -39,15 +40,19 @@ def preprocess(
 
     ``features`` has folder, layer (file name), feature_id, geom_type, rings, attrs, crs.
     """
+    # A layer is one file, so its features arrive in few tasks: spread them first.
+    features = features.repartition("folder", "layer", "feature_id")
     placed, unknown_crs = vector.reproject(features, target_crs)
     usable, broken = vector.split_features(placed)
-    stem = inventory.X.layer_stem(F.col("layer"))
-    usable = usable.withColumn("stem", stem).withColumn("role", inventory.layer_role(F.col("layer")))
-
-    roles = usable.filter("role.class_id != 0").select(
-        "folder", "feature_id", "geom_type", "rings", F.col("role.class_id").alias("class_id"),
+    # Three branches read the checked and placed features: they are computed once.
+    usable = cut(
+        usable.withColumn("stem", layer_stem(F.col("layer")))
+        .withColumn("seg_class", inventory.layer_role(F.col("layer"))["class_id"])
+    )
+    roles = usable.filter("seg_class != 0").select(
+        "folder", "feature_id", "geom_type", "rings", F.col("seg_class").alias("class_id"),
         # Later layers win; the order is by class and name, stated rather than as listed on disk.
-        F.struct("role.class_id", "stem").alias("layer_ord"),
+        F.struct("seg_class", "stem").alias("layer_ord"),
     )
     on_raster = vector.on_rasters(roles, meta)
     burned = vector.burn(on_raster)
