@@ -58,7 +58,10 @@ def read_layers(spark: SparkSession, path: str, whole_files: bool = True) -> tup
         .withColumn("path", F.col("_metadata.file_path"))
     )
     name = X.file_name(F.col("path"))
-    bad = raw.filter("_bad is not null").select("path", F.lit("unreadable layer").alias("reason"))
+    # A broken document has none of its fields; naming one keeps the reader from refusing
+    # a query about the broken text alone.
+    whole = F.col("features") if whole_files else F.col("geometry")
+    bad = raw.filter(F.col("_bad").isNotNull() & whole.isNull()).select("path", F.lit("unreadable layer").alias("reason"))
     good = raw.filter("_bad is null")
     if whole_files:
         crs = F.regexp_extract("crs.properties.name", r"EPSG:+(\d+)$", 1)

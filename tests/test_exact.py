@@ -215,10 +215,10 @@ def test_clean_mask_brute_force(spark):
 
 
 def test_rings_and_rounds_agree(spark):
-    a = (mask_array(24, 30, seed=9, share=0.6) > 0).astype(int)
+    a = (mask_array(9, 11, seed=9, share=0.7) > 0).astype(int)
     df = as_table(spark, a)
-    one = vectorise.ring_vertices(df, 8)
-    many = vectorise.ring_vertices(df, 8, bound=0)
+    one = vectorise.ring_vertices(df, 4)
+    many = vectorise.ring_vertices(df, 4, bound=0)
     assert rows(one) == rows(many)
     area = {r.region: r.area for r in vectorise.region_summary(one).collect()}
     lab = flood({tuple(x) for x in np.argwhere(a)}, FOUR)
@@ -249,7 +249,7 @@ def brute_simplify(pts, tol):
 
 
 def test_simplify_three_ways(spark):
-    a = (mask_array(30, 30, seed=11, share=0.6) > 0).astype(int)
+    a = (mask_array(12, 12, seed=11, share=0.7) > 0).astype(int)
     v = vectorise.ring_vertices(as_table(spark, a), 8)
     one = rows(vectorise.simplify(v, 0.8).select("region", "ring", "seq"))
     many = rows(vectorise.simplify(v, 0.8, bound=0).select("region", "ring", "seq"))
