@@ -20,8 +20,8 @@ from geoloom.plans.queries import QUERIES
 HEADLINE = [
     "seg_class_metrics", "tri_loss", "file_inventory", "roof_labels", "fg_tiles", "reflect_pad", "rescale_u8",
     "area_resize", "blend_overlap", "predict_tiles", "clean_mask", "region_vectors", "burn_coverage",
-    "spatial_join_blocks", "box_iou_join", "soft_nms", "ap50", "map_coco", "centred_tiles", "negative_tiles",
-    "split_holdout", "early_stop", "cutmix", "preprocess_totals",
+    "spatial_join_blocks", "box_iou_join", "soft_nms", "ap50", "centred_tiles", "negative_tiles",
+    "split_holdout", "early_stop", "cutmix",
 ]
 
 
