@@ -90,10 +90,7 @@ _FEAT = S.TRIANGLES + """, feat AS (SELECT l_suppkey AS raster_id, l_orderkey *
 
 def _mixed(spark, sf):
     """Triangles of which some lost their geometry, their closing point or their area."""
-    q = T.table(spark, sf, "lineitem").selectExpr(
-        "l_suppkey as raster_id", "l_orderkey * 1000000 + l_partkey * 10 + l_linenumber as feature_id", "l_quantity as q"
-    )
-    f = T.triangles(spark, sf).join(q, ["raster_id", "feature_id"])
+    f = T.triangles(spark, sf, "l_quantity").withColumnRenamed("l_quantity", "q")
     ring = F.element_at("rings", 1)
     flat = F.transform(ring, lambda p: F.struct(p["x"].alias("x"), F.lit(1.0).alias("y")))
     rings = (

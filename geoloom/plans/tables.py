@@ -136,8 +136,11 @@ def objects(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def triangles(spark: SparkSession, sf: str) -> DataFrame:
-    """Features: right triangles whose edges miss every pixel centre."""
+def triangles(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
+    """Features: right triangles whose edges miss every pixel centre.
+
+    ``extra`` columns of the line items are passed through.
+    """
     p = lambda x, y: F.struct(F.expr(x).alias("x"), F.expr(y).alias("y"))
     ring = F.array(p("x0", "y0"), p("x0 + leg", "y0"), p("x0", "y0 + leg"), p("x0", "y0"))
     return table(spark, sf, "lineitem").selectExpr(
@@ -147,8 +150,9 @@ def triangles(spark: SparkSession, sf: str) -> DataFrame:
         f"(l_partkey * 37) % {POLY_CANVAS - 20} + 0.25D as x0",
         f"(l_orderkey * 53) % {POLY_CANVAS - 20} + 0.25D as y0",
         "3 + l_quantity % 7 as leg",
+        *extra,
     ).select(
-        "raster_id", "feature_id", "layer_ord", F.col("layer_ord").alias("class_id"),
+        *extra, "raster_id", "feature_id", "layer_ord", F.col("layer_ord").alias("class_id"),
         F.lit("Polygon").alias("geom_type"), F.array(ring).alias("rings"),
     )
 
