@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geoloom.llm import packing, token_counts
+from geoloom.llm import decontaminate, packing, simhash, token_counts
 from geoloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_simhash(spark, sf):
+    grouped = simhash.groups(table(spark, sf, "documents"))
+    return grouped.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op8_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents")).drop("source", "round", "ids")
 
@@ -20,5 +26,9 @@ def op9_token_counts(spark, sf):
     return token_counts.curve(token_counts.histogram(table(spark, sf, "documents")))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op8_packing, op9_token_counts)}
-ORACLES: dict[str, str] = {}
+def op10_decontamination(spark, sf):
+    return decontaminate.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_simhash, op8_packing, op9_token_counts, op10_decontamination)}
+ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
