@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, packing, simhash, token_counts
-from geoloom.llm.common import table
+from geoloom.llm import decontaminate, packing, simhash, token_counts, toxicity
+from geoloom.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _classified(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    return _classified(toxicity.scored(docs, toxicity.fit(docs, table(spark, sf, "labels"))), 0.5)
+
+
 def op2_simhash(spark, sf):
     grouped = simhash.groups(table(spark, sf, "documents"))
     return grouped.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -30,5 +42,5 @@ def op10_decontamination(spark, sf):
     return decontaminate.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op2_simhash, op8_packing, op9_token_counts, op10_decontamination)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_simhash, op8_packing, op9_token_counts, op10_decontamination)}
 ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}

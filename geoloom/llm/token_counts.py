@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import column, map_rows, prefix_sums
+from geoloom.llm.common import column, map_rows, prefix_sums, stored
 from geoloom.llm.tokens import BYTE_BPE, encoder
 
 
@@ -27,8 +27,8 @@ def lengths(docs: DataFrame, tokenizer: str = BYTE_BPE) -> DataFrame:
 
 
 def histogram(docs: DataFrame, tokenizer: str = BYTE_BPE) -> DataFrame:
-    """(length, documents)."""
-    return lengths(docs, tokenizer).groupBy("length").agg(F.count("*").alias("documents"))
+    """(length, documents), stored: a row per distinct length stands for all texts from here on."""
+    return stored(lengths(docs, tokenizer).groupBy("length").agg(F.count("*").alias("documents")), "lengths")
 
 
 def curve(hist: DataFrame) -> DataFrame:
