@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, packing, quality, simhash, token_counts, toxicity
+from geoloom.llm import decontaminate, packing, pii, quality, secrets, simhash, token_counts, toxicity
 from geoloom.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +30,21 @@ def op2_simhash(spark, sf):
     return grouped.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_secrets(spark, sf):
+    docs = table(spark, sf, "documents")
+    return secrets.found(docs, secrets.fit(docs))
+
+
 def op4_quality(spark, sf):
     docs = table(spark, sf, "documents")
     return _classified(quality.scored(docs, quality.fit(docs, table(spark, sf, "labels"))), 0.3)
 
 
+def op5_pii(spark, sf):
+    docs = table(spark, sf, "documents")
+    return pii.found(docs, pii.fit(docs))
+
+
 def op8_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents")).drop("source", "round", "ids")
 
@@ -47,5 +57,5 @@ def op10_decontamination(spark, sf):
     return decontaminate.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_simhash, op4_quality, op8_packing, op9_token_counts, op10_decontamination)}
+QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_simhash, op3_secrets, op4_quality, op5_pii, op8_packing, op9_token_counts, op10_decontamination)}
 ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
