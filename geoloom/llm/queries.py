@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, packing, pii, quality, secrets, simhash, token_counts, toxicity
-from geoloom.llm.common import fold, table
+from geoloom.llm import decontaminate, neighbours, packing, pii, quality, secrets, simhash, token_counts, toxicity, warc
+from geoloom.llm.common import fold, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,17 @@ def op5_pii(spark, sf):
     return pii.found(docs, pii.fit(docs))
 
 
+def op6_warc(spark, sf):
+    path = shared_path(spark, "warc")
+    warc.write(table(spark, sf, "pages"), path)
+    recs = warc.resolve_revisits(warc.read(spark, path))
+    return recs.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_neighbours(spark, sf):
+    return neighbours.search(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents")).drop("source", "round", "ids")
 
@@ -57,5 +68,11 @@ def op10_decontamination(spark, sf):
     return decontaminate.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_toxicity, op2_simhash, op3_secrets, op4_quality, op5_pii, op8_packing, op9_token_counts, op10_decontamination)}
-ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
+QUERIES: dict[str, Query] = {
+    q.__name__: q
+    for q in (
+        op1_toxicity, op2_simhash, op3_secrets, op4_quality, op5_pii, op6_warc, op7_neighbours, op8_packing,
+        op9_token_counts, op10_decontamination,
+    )
+}
+ORACLES: dict[str, str] = {"op6_warc": warc.ORACLE, "op10_decontamination": decontaminate.ORACLE}
