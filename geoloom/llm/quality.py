@@ -105,7 +105,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, low_rows: int = LOW_ROWS, high_rows: int = HIGH_ROWS) -> Model:
-    rows = sample(docs, labels, "quality", {0: low_rows, 1: high_rows})
+    rows, _ = sample(docs, labels, "quality", {0: low_rows, 1: high_rows})
     rows = rows[rows["text"] != ""]
     y = rows["y"].to_numpy(dtype=np.float64)
     if not len(y):

@@ -75,4 +75,13 @@ QUERIES: dict[str, Query] = {
         op9_token_counts, op10_decontamination,
     )
 }
+
+
+def pipeline(spark, sf):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
+QUERIES["pipeline"] = pipeline
 ORACLES: dict[str, str] = {"op6_warc": warc.ORACLE, "op10_decontamination": decontaminate.ORACLE}
