@@ -15,8 +15,8 @@ from geoloom.llm.common import column, fold
 LONGEST_TO_FIT = 200_000
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int]) -> tuple[pd.DataFrame, dict[int, int]]:
-    """(doc_id, y, fold, text) on the driver, at most ``per_class`` rows of each label; and how many ids have each label.
+def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int]) -> pd.DataFrame:
+    """(doc_id, y, fold, text) on the driver, at most ``per_class`` rows of each label.
 
     Only rows whose fold is not 0 are read.  Ids are taken in the order of their hash, so
     the same rows come back whatever the partitioning; an id labelled twice counts with its
@@ -36,13 +36,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int,
     # At most sum(per_class) narrow rows, so sending them to every task is bounded.
     found = texts.filter(F.length("text") <= LONGEST_TO_FIT).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
     rows = found.select(F.col("id").alias("doc_id"), "y", "fold", "text").toPandas()
-    totals = {r["y"]: r["count"] for r in ids.groupBy("y").count().filter(F.col("y").isin(list(per_class))).collect()}
-    return rows.sort_values("doc_id", ignore_index=True), totals
-
-
-def prior_shift(y: np.ndarray, totals: dict[int, int]) -> float:
-    """What to add to the log-odds of a model fitted on ``y`` for the classes' true proportions."""
-    return float(np.log(totals[1] / totals[0]) - np.log(y.sum() / (len(y) - y.sum())))
+    return rows.sort_values("doc_id", ignore_index=True)
 
 
 @dataclass

@@ -8,7 +8,7 @@ largest distances and the numbers of windows beyond several thresholds go throug
 logistic calibration.
 
 Dictionaries are trained on folds 1 to 3, thresholds calibrated on fold 4, fold 0 stays
-unseen; the calibration is moved to the labels' true proportions.  A match in zstandard costs about four bytes whatever its length, more than a
+unseen.  A match in zstandard costs about four bytes whatever its length, more than a
 short word is worth, so windows and dictionaries repeat every byte ``STRETCH`` times.
 
 Null and empty texts have no windows and get the calibrated score of that.  Letters A to
@@ -27,9 +27,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from geoloom.llm.common import column
-from geoloom.llm.labelled import Logistic, fit_logistic, prior_shift, sample, score_column
+from geoloom.llm.labelled import Logistic, fit_logistic, sample, score_column
 
-TOXIC_ROWS, ORDINARY_ROWS = 3000, 4500
+TOXIC_ROWS, ORDINARY_ROWS = 3000, 7500
 STRETCH = 3
 THRESHOLDS = (2, 4, 6, 8, 10, 14)
 DICTIONARY_BYTES = 8000
@@ -103,10 +103,10 @@ def train_dictionaries(toxic: list[str], ordinary: list[str]) -> Dictionaries:
     in_toxic, in_ordinary = marked.total(), plain.total()
     telling = []
     for s, k in marked.items():
-        if k >= 8:
+        if k >= 7:
             # Tens of thousands of segments are compared, hence the wide margins.
-            least = (k - 3.5 * math.sqrt(k)) / in_toxic
-            most = (plain[s] + 3.5 * math.sqrt(plain[s]) + 1) / in_ordinary
+            least = (k - 2.5 * math.sqrt(k)) / in_toxic
+            most = (plain[s] + 2.5 * math.sqrt(plain[s]) + 1) / in_ordinary
             if least > 3 * most:
                 telling.append((s, k * math.log(least / most)))
     telling.sort(key=lambda kv: (-kv[1], -len(kv[0]), kv[0]))
@@ -148,7 +148,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS) -> Model:
-    rows, totals = sample(docs, labels, "toxic", {1: toxic_rows, 0: ordinary_rows})
+    rows = sample(docs, labels, "toxic", {1: toxic_rows, 0: ordinary_rows})
     held = rows["fold"] == 4
     y = rows["y"].to_numpy()
     texts = rows["text"].to_numpy()
@@ -157,9 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     dictionaries = train_dictionaries(list(texts[~held & (y == 1)]), list(texts[~held & (y == 0)]))
     saved = dictionaries.distance()
     x = np.array([features(t, saved) for t in texts[held]])
-    calibration = fit_logistic(x, y[held])
-    calibration.weights[-1] += prior_shift(y[held], totals)
-    return Model(dictionaries, calibration)
+    return Model(dictionaries, fit_logistic(x, y[held]))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
