@@ -83,12 +83,11 @@ DEFAULT_BUFFER_PX = 20
 
 # File names.
 RASTER_SUFFIXES = (".tif", ".tiff", ".ecw", ".img", ".vrt", ".jp2")
-CANDIDATE_SUFFIXES = (".tif", ".tiff", ".ecw")
+CANDIDATE_SUFFIXES = (".tif", ".tiff", ".ecw", ".img")
 LAYER_SIDECARS = (".dbf", ".prj", ".shx", ".sbn", ".sbx", ".cpg", ".xml")
 LOCK_PATTERNS = (
     r"\.shp\..+\.lock$",
     r"\.shp\.ed\.lock$",
-    r"\.shp\.NICNMM\..+\.lock$",
     r"\.tif\.pyrx$",
     r"\.ecw\.aux$",
     r"\.tif\.aux$",

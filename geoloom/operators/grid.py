@@ -260,16 +260,18 @@ def strip_pixels(pixels: DataFrame, raster_id: int, row_off: int, rows: int) ->
     )
 
 
+def header_reason() -> Column:
+    """Why a raster cannot be used, as far as its metadata tells; null for usable ones."""
+    return F.when((F.col("width") == 0) | (F.col("height") == 0), "zero-size raster").when(F.col("n_bands") == 0, "no bands")
+
+
 def raster_health(meta: DataFrame, pixels: DataFrame) -> DataFrame:
     """(raster_id, reason, all_zero): unusable rasters get a reason, dark ones only a flag."""
     top = pixels.groupBy("raster_id").agg(F.max(F.greatest("b1", "b2", "b3")).alias("top"))
-    reason = F.when((F.col("width") == 0) | (F.col("height") == 0), "zero-size raster").when(
-        F.col("n_bands") == 0, "no bands"
-    )
     joined = meta.join(top, "raster_id", "left")
     return joined.select(
         "raster_id",
-        F.coalesce(reason, F.when(F.col("top").isNull(), "read error")).alias("reason"),
+        F.coalesce(header_reason(), F.when(F.col("top").isNull(), "read error")).alias("reason"),
         F.coalesce(F.col("top") == 0, F.lit(False)).alias("all_zero"),
     )
 

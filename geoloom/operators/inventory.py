@@ -78,16 +78,18 @@ def inventory_summary(inventory: DataFrame) -> DataFrame:
 
 
 # Folders written by the workflow itself.
-DERIVED_FOLDERS = (
-    "patches", "patch_masks", "building_crops", "yolo_infra", "masks", "checkpoints", "logs", "outputs",
-)
+DERIVED_FOLDERS = ("patches", "patch_masks", "building_crops", "yolo_infra", "masks")
+
 
+def candidate_folders(files: DataFrame, root: str, without_derived: bool = False) -> DataFrame:
+    """The root and its direct subfolders that hold a raster.
 
-def candidate_folders(files: DataFrame, root: str) -> DataFrame:
-    """The root and its direct subfolders that hold a raster, without derived folders."""
+    ``without_derived`` leaves out the root and the folders the workflow itself writes, as
+    the search for detection data does.
+    """
     parent = F.regexp_extract("folder", r"^(.*)/[^/]*$", 1)
     leaf = F.regexp_extract("folder", r"([^/]*)$", 1)
-    near = (F.col("folder") == root) | ((parent == root) & ~leaf.isin(*DERIVED_FOLDERS))
+    near = (parent == root) & ~leaf.isin(*DERIVED_FOLDERS) if without_derived else (F.col("folder") == root) | (parent == root)
     is_raster = X.suffix(F.col("name")).isin(*CANDIDATE_SUFFIXES)
     return (
         files.filter(near)
@@ -101,7 +103,7 @@ def rasters_below(files: DataFrame, root: str) -> DataFrame:
     """All ``.tif`` and ``.tiff`` files at any depth, without lock and pyramid files."""
     low = F.lower("name")
     return files.filter(
-        F.col("folder").startswith(root)
+        ((F.col("folder") == root) | F.col("folder").startswith(root.rstrip("/") + "/"))
         & X.suffix(F.col("name")).isin(".tif", ".tiff")
         & ~low.contains(".pyrx")
         & ~low.contains(".lock")

@@ -215,6 +215,15 @@ def label_lines(labels: DataFrame, negatives: DataFrame) -> DataFrame:
     return pos.unionByName(neg)
 
 
+def label_texts(lines: DataFrame) -> DataFrame:
+    """(raster_id, name, text): a tile's label file, its lines in the order of the objects.
+
+    A text file is one value by nature; it holds the objects of one tile.
+    """
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("obj_id", "line"))), lambda x: x["line"])
+    return lines.groupBy("raster_id", "name").agg(F.concat_ws("\n", ordered).alias("text"))
+
+
 def tile_index(labels: DataFrame, negatives: DataFrame) -> DataFrame:
     """(raster_id, name, n_objects): every written tile once."""
     lines = label_lines(labels, negatives)

@@ -59,7 +59,12 @@ def _total(k: Column, field: str) -> Column:
 
 def seg_class_metrics(df: DataFrame, n: int) -> DataFrame:
     """(class_id, iou, f1) for all ``n`` classes."""
-    k = _class_counts(confusion_matrix(valid_labels(df, n, both=False)), n)
+    return class_metrics_of(confusion_matrix(valid_labels(df, n, both=False)), n)
+
+
+def class_metrics_of(matrix: DataFrame, n: int) -> DataFrame:
+    """The same from counts (target, pred, n)."""
+    k = _class_counts(matrix, n)
     return k.select(F.explode("k").alias("k")).select(
         "k.class_id", _iou(F.col("k")).alias("iou"), _dice(F.col("k")).alias("f1")
     )
@@ -67,7 +72,12 @@ def seg_class_metrics(df: DataFrame, n: int) -> DataFrame:
 
 def seg_summary(df: DataFrame, n: int) -> DataFrame:
     """Means over the foreground classes, and pixel accuracy."""
-    k = _class_counts(confusion_matrix(valid_labels(df, n, both=False)), n)
+    return summary_of(confusion_matrix(valid_labels(df, n, both=False)), n)
+
+
+def summary_of(matrix: DataFrame, n: int) -> DataFrame:
+    """The same from counts (target, pred, n)."""
+    k = _class_counts(matrix, n)
     fg = F.slice("k", 2, n - 1)
     return k.select(
         _mean(fg, _iou, n - 1).alias("mean_iou"),

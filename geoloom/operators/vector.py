@@ -62,13 +62,49 @@ def reproject(features: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
     return out.withColumn("crs", F.coalesce("crs", F.lit(target))).withColumn("crs", F.lit(target)), bad
 
 
-def on_rasters(features: DataFrame, meta: DataFrame) -> DataFrame:
-    """Features of a folder on every raster of that folder, with rings in pixels.
+def place(features: DataFrame, meta: DataFrame) -> DataFrame:
+    """Features (map coordinates) with every raster of their folder whose extent they meet.
 
-    Layers are shared by the rasters of their folder, so the join key is the folder.
+    Layers are shared by the rasters of a folder, yet a feature lies on few of them.  The
+    folder is covered by cells as large as its largest raster; both sides are spread over
+    the cells they touch and meet on (folder, cell).  A pair counts in the cell that holds
+    the lower corner of its overlap only, so no distinct is needed.
     """
-    joined = features.join(meta.select("raster_id", "folder", "height", "width", "affine"), "folder")
-    return to_pixels(joined)
+    t = F.col("affine")
+    x0, x1, y0, y1 = t["c"], t["c"] + t["a"] * F.col("width"), t["f"], t["f"] + t["e"] * F.col("height")
+    boxes = meta.filter("width > 0 and height > 0").select(
+        F.col("folder").alias("_folder"), "raster_id", "height", "width", "affine",
+        F.least(x0, x1).alias("_rx1"), F.greatest(x0, x1).alias("_rx2"),
+        F.least(y0, y1).alias("_ry1"), F.greatest(y0, y1).alias("_ry2"),
+    )
+    sizes = boxes.groupBy("_folder").agg(
+        F.max(F.col("_rx2") - F.col("_rx1")).alias("_cw"), F.max(F.col("_ry2") - F.col("_ry1")).alias("_ch")
+    )
+    at = lambda v, size: F.floor(F.col(v) / F.col(size))
+
+    def spread(df: DataFrame, p: str) -> DataFrame:
+        return df.withColumn("_cx", F.explode(F.sequence(at(f"{p}x1", "_cw"), at(f"{p}x2", "_cw")))).withColumn(
+            "_cy", F.explode(F.sequence(at(f"{p}y1", "_ch"), at(f"{p}y2", "_ch")))
+        )
+
+    rasters = spread(boxes.join(sizes, "_folder"), "_r").drop("_cw", "_ch")
+    # One row per folder, joined to the features that are cut down to their boxes by it.
+    sized = _with_box(features.filter(G.is_present(F.col("rings")))).join(sizes.withColumnRenamed("_folder", "folder"), "folder")
+    cells = spread(sized, "_")
+    same = (F.col("folder") == F.col("_folder")) & (cells["_cx"] == rasters["_cx"]) & (cells["_cy"] == rasters["_cy"])
+    meets = (
+        (F.col("_x1") <= F.col("_rx2")) & (F.col("_rx1") <= F.col("_x2"))
+        & (F.col("_y1") <= F.col("_ry2")) & (F.col("_ry1") <= F.col("_y2"))
+    )
+    owner = (cells["_cx"] == F.floor(F.greatest("_x1", "_rx1") / F.col("_cw"))) & (
+        cells["_cy"] == F.floor(F.greatest("_y1", "_ry1") / F.col("_ch"))
+    )
+    return cells.join(rasters, same & meets & owner).select(*features.columns, "raster_id", "height", "width", "affine")
+
+
+def on_rasters(features: DataFrame, meta: DataFrame) -> DataFrame:
+    """Features on the rasters of their folder that they meet, with rings in pixels."""
+    return to_pixels(place(features, meta))
 
 
 def to_pixels(features: DataFrame) -> DataFrame:

@@ -153,10 +153,18 @@ def window_read(spark, sf):
     return out.groupBy("box_id").agg(F.count("*").alias("n"), F.sum("b1").alias("total"))
 
 
-@query("raster_health", f"""WITH {S.META}, {S.RGB} SELECT raster_id, CAST(NULL AS VARCHAR) AS reason,
-  max(greatest(b1, b2, b3)) = 0 AS all_zero FROM rgb GROUP BY raster_id""")
+@query("raster_health", f"""WITH {S.META}, {S.RGB}, suspects AS (
+  SELECT s_suppkey + 1000000 AS raster_id, s_suppkey % 4 AS k FROM supplier)
+SELECT raster_id, CAST(NULL AS VARCHAR) AS reason, max(greatest(b1, b2, b3)) = 0 AS all_zero FROM rgb GROUP BY raster_id
+UNION ALL SELECT raster_id, CASE k WHEN 0 THEN 'zero-size raster' WHEN 1 THEN 'no bands' WHEN 2 THEN 'read error' END, k = 3 FROM suspects""")
 def raster_health(spark, sf):
-    return G.raster_health(T.raster_meta(spark, sf), T.rgb(spark, sf))
+    """The rasters, and one per supplier that is empty, has no band, cannot be read or is dark."""
+    key = T.table(spark, sf, "supplier").selectExpr("s_suppkey + 1000000 as raster_id", "cast(s_suppkey % 4 as int) as k")
+    suspects = key.selectExpr(
+        "raster_id", "if(k = 0, 0, 8) as height", "8 as width", "if(k = 1, 0, 3) as n_bands", "'uint8' as dtype"
+    )
+    dark = key.filter("k = 3").selectExpr("raster_id", "0 as r", "0 as c", "0 as b1", "0 as b2", "0 as b3")
+    return G.raster_health(T.raster_meta(spark, sf).unionByName(suspects), T.rgb(spark, sf).unionByName(dark))
 
 
 @query("rescale_u8", f"""WITH {S.PIXELS}, e AS (SELECT raster_id, min(v) AS lo, max(v) AS hi FROM pixels GROUP BY raster_id)

@@ -46,14 +46,22 @@ def ecw_dedup(spark, sf):
     )
 
 
-@query("candidate_folders", f"""WITH {_INV} SELECT folder, count(*) FILTER (suffix IN ('.tif','.tiff','.ecw')) AS rasters
+@query("candidate_folders", f"""WITH {_INV} SELECT folder, count(*) FILTER (suffix IN ('.tif','.tiff','.ecw','.img')) AS rasters
 FROM inv WHERE folder = 'data' OR regexp_matches(folder, '^data/[^/]*$') GROUP BY folder
-HAVING count(*) FILTER (suffix IN ('.tif','.tiff','.ecw')) > 0""")
+HAVING count(*) FILTER (suffix IN ('.tif','.tiff','.ecw','.img')) > 0""")
 def candidate_folders(spark, sf):
     return I.candidate_folders(T.files(spark, sf), "data")
 
 
-@query("recursive_rasters", f"WITH {_INV} SELECT folder, name FROM inv WHERE suffix IN ('.tif', '.tiff')")
+@query("detection_folders", f"""WITH {_INV} SELECT folder, count(*) FILTER (suffix IN ('.tif','.tiff','.ecw','.img')) AS rasters
+FROM inv WHERE regexp_matches(folder, '^data/[^/]*$') AND folder NOT IN ('data/patches', 'data/patch_masks', 'data/building_crops', 'data/yolo_infra', 'data/masks')
+GROUP BY folder HAVING count(*) FILTER (suffix IN ('.tif','.tiff','.ecw','.img')) > 0""")
+def detection_folders(spark, sf):
+    return I.candidate_folders(T.files(spark, sf), "data", without_derived=True)
+
+
+@query("recursive_rasters", f"""WITH {_INV} SELECT folder, name FROM inv WHERE suffix IN ('.tif', '.tiff')
+  AND (folder = 'data' OR starts_with(folder, 'data/'))""")
 def recursive_rasters(spark, sf):
     return I.rasters_below(T.files(spark, sf), "data").select("folder", "name")
 

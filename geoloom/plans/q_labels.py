@@ -92,6 +92,14 @@ def yolo_text(spark, sf):
     return L.label_lines(*_labels(spark, sf))
 
 
+@query("label_files", f"""WITH RECURSIVE {_NEG}
+SELECT raster_id, printf('infra_%d_%06d_%06d', raster_id, tile_r, tile_c) AS name,
+  string_agg(printf('%d %.6f %.6f %.6f %.6f', class_id, cx, cy, bw, bh), chr(10) ORDER BY obj_id) AS text FROM lab GROUP BY ALL
+UNION ALL SELECT DISTINCT raster_id, printf('infra_neg_%d_%06d_%06d', raster_id, tile_r, tile_c), '' FROM neg""")
+def label_files(spark, sf):
+    return L.label_texts(L.label_lines(*_labels(spark, sf)))
+
+
 @query("extraction_counts", f"""WITH RECURSIVE {_INDEX} SELECT count(*) AS tiles,
   count(*) FILTER (starts_with(name, 'infra_neg_')) AS negatives, CAST(sum(n_objects) AS BIGINT) AS objects FROM idx""")
 def extraction_counts(spark, sf):

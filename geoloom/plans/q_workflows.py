@@ -18,27 +18,29 @@ SMALL = SegmentationParams(patch_size=32, overlap=8, strip_rows=64, min_building
 
 
 def _training_inputs(spark, sf):
-    """One folder and raster per supplier; its line items are the features."""
+    """One raster per supplier, ten to a folder side by side, every tenth empty; its line items are the features."""
     meta = T.table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("raster_id"), F.format_string("r%d", "s_suppkey").alias("folder"),
-        F.lit(T.POLY_CANVAS).alias("height"), F.lit(T.POLY_CANVAS).alias("width"), F.expr(_AFFINE).alias("affine"),
+        F.col("s_suppkey").alias("raster_id"), F.expr("'f' || (s_suppkey div 10)").alias("folder"),
+        F.expr(f"if(s_suppkey % 10 = 3, 0, {T.POLY_CANVAS})").alias("height"), F.lit(T.POLY_CANVAS).alias("width"), F.lit(3).alias("n_bands"),
+        F.expr(_AFFINE.replace("'c', 0D", "'c', 200D * (s_suppkey % 10)")).alias("affine"),
     )
     names = ("Built_Up_Area_type", "Road", "Water_Body", "Utility", "Built_Up_Area_typ", "Utility_Poly_", "Contours")
     layer = F.element_at(F.array(*[F.lit(n + ".shp") for n in names]), ((F.col("feature_id") % 10 + F.col("layer_ord")) % 7 + 1).cast("int"))
-    geo = lambda p: F.struct((p["x"] * 0.5).alias("x"), (p["y"] * -0.5).alias("y"))
+    east = F.expr("200D * (raster_id % 10)")
+    geo = lambda p: F.struct((p["x"] * 0.5 + east).alias("x"), (p["y"] * -0.5).alias("y"))
     attrs = F.create_map(
         F.lit("Roof_type"), F.element_at(F.array(*[F.lit(x) for x in ("Pucca_RCC", "tin", "", "clay")]), F.col("layer_ord").cast("int")),
         F.lit("Utility_Ty"), F.element_at(F.array(*[F.lit(x) for x in ("Well", "transformer 2", "pole")]), F.col("layer_ord").cast("int")),
     )
     features = T.triangles(spark, sf).select(
-        F.format_string("r%d", "raster_id").alias("folder"), layer.alias("layer"), "feature_id", "geom_type",
+        F.expr("'f' || (raster_id div 10)").alias("folder"), layer.alias("layer"), "feature_id", "geom_type",
         F.transform("rings", lambda ring: F.transform(ring, geo)).alias("rings"), attrs.alias("attrs"), F.lit("EPSG:3857").alias("crs"),
     )
     return meta, features
 
 
 @query("preprocess_totals", f"""WITH {S.TRIANGLES}, l AS (
-  SELECT *, ['built','road','water','utility','built','utility','none'][(feature_id % 10 + layer_ord) % 7 + 1] AS layer FROM tri),
+  SELECT *, (feature_id % 10 + layer_ord) % 7 AS k, ['built','road','water','utility','built','utility','none'][(feature_id % 10 + layer_ord) % 7 + 1] AS layer FROM tri),
 px AS (SELECT raster_id, CASE layer WHEN 'built' THEN 1 WHEN 'road' THEN 2 ELSE 3 END AS class_id,
     CAST(floor(y0) + i AS INTEGER) AS r, CAST(floor(x0) + j AS INTEGER) AS c
   FROM l, range(11) a(i), range(11) b(j) WHERE layer IN ('built', 'road', 'water')
@@ -47,12 +49,14 @@ fg AS (SELECT DISTINCT raster_id, r, c FROM px),
 tiles AS (SELECT raster_id, s, tr, tc FROM fg, (SELECT s, s * 32 + k * 24 AS tr, least(32, least(64, 240 - s * 32) - k * 24) AS h
     FROM range(8) a(s), range(3) b(k) WHERE k * 24 < least(64, 240 - s * 32)) g, (SELECT k * 24 AS tc FROM range(10) t(k)) h2
   WHERE r >= tr AND r < tr + h AND c >= tc AND c < tc + 32 GROUP BY ALL HAVING count(*) / 1024 >= 0.003),
-crops AS (SELECT raster_id, feature_id FROM l WHERE layer = 'built' AND floor(y0 + leg) - floor(y0) >= 5 AND floor(x0 + leg) - floor(x0) >= 5),
+best AS (SELECT raster_id // 10 AS folder, min(k) AS k FROM l WHERE layer = 'built' GROUP BY 1),
+crops AS (SELECT raster_id, feature_id FROM l JOIN best ON best.folder = raster_id // 10 AND best.k = l.k WHERE layer = 'built' AND floor(y0 + leg) - floor(y0) >= 5 AND floor(x0 + leg) - floor(x0) >= 5),
 infra AS (SELECT raster_id, feature_id FROM l WHERE layer = 'utility' AND layer_ord IN (1, 2)),
-per AS (SELECT 'r' || s_suppkey AS folder, (SELECT count(*) FROM tiles t WHERE t.raster_id = s_suppkey) AS patches,
+per AS (SELECT 'f' || (s_suppkey // 10) AS folder, s_suppkey % 10 <> 3 AS ok, (SELECT count(*) FROM tiles t WHERE t.raster_id = s_suppkey) AS patches,
   (SELECT count(*) FROM crops t WHERE t.raster_id = s_suppkey) AS crops, (SELECT count(*) FROM infra t WHERE t.raster_id = s_suppkey) AS infra FROM supplier)
-SELECT folder, count(*) AS rasters, 0::BIGINT AS failed, CAST(sum(patches) AS BIGINT) AS patches, CAST(sum(crops) AS BIGINT) AS crops,
-  CAST(sum(infra) AS BIGINT) AS infra FROM per GROUP BY ROLLUP (folder)""")
+SELECT folder, count(*) FILTER (ok) AS rasters, count(*) FILTER (NOT ok) AS failed, CAST(coalesce(sum(patches) FILTER (ok), 0) AS BIGINT) AS patches,
+  CAST(coalesce(sum(crops) FILTER (ok), 0) AS BIGINT) AS crops, CAST(coalesce(sum(infra) FILTER (ok), 0) AS BIGINT) AS infra
+FROM per GROUP BY ROLLUP (folder)""")
 def preprocess_totals(spark, sf):
     meta, features = _training_inputs(spark, sf)
     out = W.preprocess(
@@ -77,16 +81,28 @@ def infer_features(spark, sf):
     )
 
 
-@query("evaluate_masks", f"""WITH {S.MASK_PAIR}, cm AS (SELECT target, pred, count(*)::DOUBLE AS n FROM pair WHERE target > 0 OR pred > 0 GROUP BY ALL),
+_CONFUSION = S.MASK_PAIR + """, cm AS (SELECT target, pred, count(*)::DOUBLE AS n FROM pair GROUP BY ALL),
 k AS (SELECT CAST(k AS INTEGER) AS class_id, coalesce((SELECT sum(n) FROM cm WHERE target = k AND pred = k), 0) AS tp,
-  coalesce((SELECT sum(n) FROM cm WHERE target = k), 0) AS act, coalesce((SELECT sum(n) FROM cm WHERE pred = k), 0) AS prd FROM range(4) t(k))
-SELECT class_id, round(tp / greatest(act + prd - tp, 1e-6), 6) AS iou, round(2 * tp / greatest(act + prd, 1e-6), 6) AS f1 FROM k""")
-def evaluate_masks(spark, sf):
+  coalesce((SELECT sum(n) FROM cm WHERE target = k), 0) AS act, coalesce((SELECT sum(n) FROM cm WHERE pred = k), 0) AS prd FROM range(4) t(k)),
+m AS (SELECT *, tp / greatest(act + prd - tp, 1e-6) AS iou, 2 * tp / greatest(act + prd, 1e-6) AS f1 FROM k)"""
+
+
+def _evaluated(spark, sf):
     """Masks that store foreground only, as written by the workflow."""
     pair = T.mask_pair(spark, sf)
     side = lambda c: pair.filter(F.col(c) > 0).select("raster_id", "r", "c", F.col(c).alias("class_id"))
-    per_class, _ = W.evaluate(side("target"), side("pred"), 4)
-    return per_class.select("class_id", F.round("iou", 6).alias("iou"), F.round("f1", 6).alias("f1"))
+    return W.evaluate(side("target"), side("pred"), T.raster_meta(spark, sf), 4)
+
+
+@query("evaluate_masks", f"WITH {_CONFUSION} SELECT class_id, round(iou, 6) AS iou, round(f1, 6) AS f1 FROM m")
+def evaluate_masks(spark, sf):
+    return _evaluated(spark, sf)[0].select("class_id", F.round("iou", 6).alias("iou"), F.round("f1", 6).alias("f1"))
+
+
+@query("evaluate_summary", f"""WITH {_CONFUSION} SELECT round(sum(iou) FILTER (class_id > 0) / 3, 6) AS mean_iou,
+  round(sum(f1) FILTER (class_id > 0) / 3, 6) AS mean_f1, round(sum(tp) / sum(act), 6) AS pixel_acc FROM m""")
+def evaluate_summary(spark, sf):
+    return _evaluated(spark, sf)[1].select(*[F.round(c, 6).alias(c) for c in ("mean_iou", "mean_f1", "pixel_acc")])
 
 
 @query("incremental_folder", f"WITH {S.MASK} SELECT raster_id, class_id, count(*) AS n FROM mask GROUP BY ALL")

@@ -80,7 +80,8 @@ TRIANGLES = f"""tri AS (
 
 FILES = """files AS (
   SELECT folder || '/' || name AS path, folder, name, size FROM (
-    SELECT 'data/f' || ((page_id // 8) % 5) AS folder,
+    SELECT CASE (page_id // 8) % 8 WHEN 5 THEN 'data' WHEN 6 THEN 'data2/f1' WHEN 7 THEN 'data/masks'
+             ELSE 'data/f' || ((page_id // 8) % 8) END AS folder,
            'village_' || (page_id // 8) || CASE page_id % 8
              WHEN 0 THEN CASE WHEN (page_id // 8) % 4 < 3 THEN '.tif' ELSE '.img' END
              WHEN 1 THEN CASE WHEN page_id % 3 = 0 THEN '_3857.ecw' ELSE '.ecw' END

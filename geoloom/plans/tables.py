@@ -168,7 +168,9 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
         when 2 then '.tif.pyrx' when 3 then '.tif.aux' when 4 then '.shp'
         when 5 then '.dbf' when 6 then '.shp.xml' else '.shp.PC.1.lock' end"""
     return table(spark, sf, "pages").selectExpr(
-        "'data/f' || ((page_id div 8) % 5) as folder",
+        # Besides five data folders: the root itself, a sibling whose name begins like it, and a derived folder.
+        """case cast((page_id div 8) % 8 as int) when 5 then 'data' when 6 then 'data2/f1' when 7 then 'data/masks'
+           else 'data/f' || ((page_id div 8) % 8) end as folder""",
         f"'village_' || (page_id div 8) || {ext} as name",
         "cast(length(html) as bigint) as size",
     ).selectExpr("folder || '/' || name as path", "folder", "name", "size")

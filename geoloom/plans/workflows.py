@@ -23,8 +23,6 @@ from geoloom.operators import blend, detect, grid, inventory, labels, mask, metr
 from geoloom.runtime import cut
 from geoloom.sources.files import attribute
 
-BUILDING_LAYERS = ("built_up_area_type", "built_up_area_typ")
-
 
 def preprocess(
     meta: DataFrame,
@@ -35,11 +33,20 @@ def preprocess(
     seg: SegmentationParams = SegmentationParams(),
     roof: RoofParams = RoofParams(),
     det: DetectParams = DetectParams(),
+    failures: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Rasters and layers of their folders to mask, tiles, crops and detection labels.
 
     ``features`` has folder, layer (file name), feature_id, geom_type, rings, attrs, crs.
+    Rasters in ``failures`` (raster_id, reason) and those whose metadata rule them out are
+    left out and listed under ``failures``; the others go on.
     """
+    failed = meta.select("raster_id", grid.header_reason().alias("reason")).filter("reason is not null")
+    if failures is not None:
+        failed = failed.unionByName(failures.select("raster_id", "reason"))
+        failed = failed.groupBy("raster_id").agg(F.min("reason").alias("reason"))
+    failed = cut(failed)
+    meta = meta.join(failed, "raster_id", "left_anti")
     # A layer is one file, so its features arrive in few tasks: spread them first.
     features = features.repartition("folder", "layer", "feature_id")
     placed, unknown_crs = vector.reproject(features, target_crs)
@@ -60,14 +67,16 @@ def preprocess(
         burned, meta, seg.patch_size, seg.overlap, seg.min_foreground, seg.strip_rows
     )
 
-    extent = meta.select("raster_id", "folder", "height", "width", "affine")
-    buildings = usable.filter(F.col("stem").isin(*BUILDING_LAYERS)).join(extent, "folder")
+    # A folder's buildings come from its preferred building layer alone.
+    chosen = inventory.selected_layers(usable.select("folder", F.col("layer").alias("name")).distinct())
+    chosen = chosen.filter("use = 'buildings'").select("folder", F.col("name").alias("layer"))
+    buildings = vector.place(usable.join(chosen, ["folder", "layer"], "left_semi"), meta)
     crops = vector.training_crops(
         buildings.withColumn("label", inventory.roof_label(attribute(roof_column))), roof.min_crop_px
     ).select("folder", "raster_id", "feature_id", "label", "r1", "r2", "c1", "c2")
 
     utilities = usable.filter(F.col("stem").startswith("utility")).withColumn("raw", attribute(infra_column))
-    objects = vector.object_pixels(inventory.infra_objects(utilities).join(extent, "folder")).select(
+    objects = vector.object_pixels(vector.place(inventory.infra_objects(utilities), meta)).select(
         "raster_id", F.xxhash64("layer", "feature_id").alias("obj_id"), "class_id", "pr", "pc"
     )
     objects = cut(objects)
@@ -80,6 +89,7 @@ def preprocess(
         "crops": crops,
         "labels": encoded,
         "negatives": negatives,
+        "failures": failed,
         "quarantine": broken.select("folder", "layer", "feature_id", "reason").unionByName(
             unknown_crs.select("folder", "layer", "feature_id", "reason")
         ),
@@ -92,7 +102,8 @@ def preprocess_totals(meta: DataFrame, out: dict[str, DataFrame]) -> DataFrame:
     Each result is counted per raster before anything is joined.
     """
     count = lambda name, col: out[name].groupBy("raster_id").agg(F.count("*").alias(col))
-    per = meta.select("raster_id", "folder").withColumn("status", F.lit("ok"))
+    failed = out["failures"].select("raster_id", F.lit("failed").alias("status")).distinct()
+    per = meta.select("raster_id", "folder").join(failed, "raster_id", "left").fillna("ok", ["status"])
     for name, col in (("tiles", "patches"), ("crops", "crops"), ("labels", "infra")):
         per = per.join(count(name, col), "raster_id", "left")
     return inventory.folder_totals(per.fillna(0), ["patches", "crops", "infra"])
@@ -143,11 +154,21 @@ def infer(
     return out
 
 
-def evaluate(target: DataFrame, predicted: DataFrame, num_classes: int) -> tuple[DataFrame, DataFrame]:
-    """(per class, summary) of a predicted mask; missing pixels on either side are background."""
+def evaluate(target: DataFrame, predicted: DataFrame, meta: DataFrame, num_classes: int) -> tuple[DataFrame, DataFrame]:
+    """(per class, summary) of a predicted mask; missing pixels on either side are background.
+
+    Pixels that neither side lists are background on both: they are counted from the
+    rasters' sizes rather than made into rows.
+    """
     key = ["raster_id", "r", "c"]
     rows = target.select(*key, F.col("class_id").alias("t"), F.lit(0).alias("p")).unionByName(
         predicted.select(*key, F.lit(0).alias("t"), F.col("class_id").alias("p"))
     )
     pair = rows.groupBy(*key).agg(F.max("t").alias("target"), F.max("p").alias("pred"))
-    return metrics.seg_class_metrics(pair, num_classes), metrics.seg_summary(pair, num_classes)
+    listed = cut(metrics.confusion_matrix(metrics.valid_labels(pair, num_classes, both=False)).select("target", "pred", "n"))
+    pixels = meta.agg(F.coalesce(F.sum(F.col("height").cast("bigint") * F.col("width")), F.lit(0)).alias("all"))
+    seen = pair.agg(F.count("*").alias("seen"))
+    zero = F.lit(0).cast("int")
+    rest = pixels.crossJoin(seen).select(zero.alias("target"), zero.alias("pred"), (F.col("all") - F.col("seen")).alias("n"))
+    matrix = listed.unionByName(rest)
+    return metrics.class_metrics_of(matrix, num_classes), metrics.summary_of(matrix, num_classes)

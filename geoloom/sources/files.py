@@ -19,6 +19,9 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFr
 
 # -- vector layers ------------------------------------------------------------------
 
+# Fixed value: the system of GeoJSON coordinates.
+DEFAULT_CRS = "EPSG:4326"
+
 _FEATURE = "type string, properties map<string,string>, geometry struct<type:string, coordinates:string>"
 _CRS = "crs struct<properties:struct<name:string>>"
 
@@ -44,7 +47,9 @@ def read_layers(spark: SparkSession, path: str, whole_files: bool = True) -> tup
 
     ``whole_files`` reads feature collections, one document per file; otherwise each line
     is a feature and large files are split between tasks.  Empty layers give no rows and
-    a broken file does not stop the others.
+    a broken file does not stop the others: every document that does not parse as a whole
+    is listed with its path, whatever else of it could be read.  Coordinates are longitude
+    and latitude (EPSG:4326) unless the document names another system.
     """
     if whole_files:
         inner = "type:string,properties:map<string,string>,geometry:struct<type:string,coordinates:string>"
@@ -58,18 +63,31 @@ def read_layers(spark: SparkSession, path: str, whole_files: bool = True) -> tup
         .withColumn("path", F.col("_metadata.file_path"))
     )
     name = X.file_name(F.col("path"))
-    # A broken document has none of its fields; naming one keeps the reader from refusing
-    # a query about the broken text alone.
-    whole = F.col("features") if whole_files else F.col("geometry")
-    bad = raw.filter(F.col("_bad").isNotNull() & whole.isNull()).select("path", F.lit("unreadable layer").alias("reason"))
+    broken = F.col("_bad").isNotNull()
+    # The parser checks only fields that a query asks for, so every field is looked at here too.
+    if whole_files:
+        empty = F.col("features").isNull()
+        unnamed = F.col("crs.properties.name").isNull().cast("int")
+        listed = F.greatest(broken.cast("int"), empty.cast("int"), F.least(F.lit(0), unnamed)) == 1
+    else:
+        empty = F.col("geometry").isNull()
+        fields = [F.col(c).isNull().cast("int") for c in ("type", "properties", "geometry")]
+        listed = broken & (F.greatest(*fields) >= 0)
+    reason = F.when(~broken, "not a feature collection").when(empty, "unreadable layer").otherwise("partly unreadable layer")
+    bad = raw.filter(listed).select("path", reason.alias("reason"))
     good = raw.filter("_bad is null")
     if whole_files:
-        crs = F.regexp_extract("crs.properties.name", r"EPSG:+(\d+)$", 1)
-        crs = F.when(crs != "", F.concat(F.lit("EPSG:"), crs))
+        named = F.col("crs.properties.name")
+        number = F.regexp_extract(named, r"EPSG:+(?:[0-9.]*:)?(\d+)$", 1)
+        # A name that is not understood stays as it is and is quarantined on placement.
+        crs = (
+            F.when(named.isNull() | named.rlike(r"CRS:?84$"), DEFAULT_CRS)
+            .when(number != "", F.concat(F.lit("EPSG:"), number)).otherwise(named)
+        )
         rows = good.select("path", crs.alias("crs"), F.posexplode("features").alias("feature_id", "f"))
     else:
         rows = good.select(
-            "path", F.lit(None).cast("string").alias("crs"),
+            "path", F.lit(DEFAULT_CRS).alias("crs"),
             F.xxhash64("path", "properties.id", "geometry.coordinates").alias("feature_id"),
             F.struct("type", "properties", "geometry").alias("f"),
         )
@@ -121,11 +139,22 @@ def write_combined(df: DataFrame, path: str) -> None:
 # -- labels and features ------------------------------------------------------------------
 
 
-def write_label_lines(lines: DataFrame, path: str) -> None:
-    """Label text files below ``name=<tile>`` folders; negatives hold an empty line."""
-    lines.select("raster_id", "name", "line").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("raster_id", "name").text(path)
+def write_label_lines(lines: DataFrame, path: str, files: int = 16) -> None:
+    """One row (raster_id, name, text) per tile in ``files`` files: all its lines in object order.
+
+    Negatives hold an empty text.  ``read_label_text`` gives the text file of one tile; a
+    folder or file for each of millions of tiles would overload the storage's listing.
+    """
+    from geoloom.operators.labels import label_texts
+
+    label_texts(lines).repartitionByRange(files, "raster_id", "name").sortWithinPartitions("raster_id", "name").write.mode(
+        "overwrite"
+    ).parquet(path)
+
+
+def read_label_text(spark: SparkSession, path: str, raster_id: int, name: str) -> DataFrame:
+    """The text of one tile; the order of the files prunes all others."""
+    return spark.read.parquet(path).filter((F.col("raster_id") == raster_id) & (F.col("name") == name)).select("text")
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:

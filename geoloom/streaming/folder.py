@@ -20,19 +20,43 @@ def process_new_files(
 ) -> None:
     """Run ``work`` on the files not seen before and append its rows below ``out``.
 
-    The file source remembers what it has read in ``checkpoint``; ``availableNow`` takes
-    what is there and stops.  Unreadable files are passed over and work continues; rows
-    carry their file in ``source_file``.  A batch that is repeated after a failure
-    replaces its own folder, so results are written once.
+    The stream lists arriving files by path and length only and remembers them in
+    ``checkpoint``; ``availableNow`` takes what is there and stops.  A batch's files are
+    read together; if one of them is broken, each is read by itself.  A file is taken whole
+    or not at all: what cannot be read goes to ``<out>_failed`` with its reason and work
+    continues.  Rows carry their file in ``source_file``.  A batch that is repeated after a
+    failure replaces its own folders, so results are written once.
     """
     arriving = (
-        spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", files_per_batch).option("ignoreCorruptFiles", "true").parquet(source)
-        .withColumn("source_file", F.col("_metadata.file_path"))
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", files_per_batch).load(source).select("path")
     )
 
+    def read(paths: list[str]) -> DataFrame:
+        rows = spark.read.schema(schema).option("ignoreCorruptFiles", "false").parquet(*paths)
+        return work(rows.withColumn("source_file", F.col("_metadata.file_path")))
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        work(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        # At most ``files_per_batch`` paths.
+        paths = sorted(r["path"] for r in batch.collect())
+        to = f"{out}/batch_id={batch_id}"
+        try:
+            read(paths).write.mode("overwrite").parquet(to)
+            return
+        except Exception:  # noqa: BLE001 - which file it was is found out below
+            pass
+        good, failed = [], []
+        for path in paths:
+            try:
+                read([path]).write.mode("overwrite").format("noop").save()
+                good.append(path)
+            except Exception as e:  # noqa: BLE001
+                failed.append((path, str(e).splitlines()[0][:500]))
+        if good:
+            read(good).write.mode("overwrite").parquet(to)
+        bad = spark.createDataFrame(failed, "path string, reason string")
+        bad.write.mode("overwrite").parquet(f"{out}_failed/batch_id={batch_id}")
 
     query = (
         arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -65,9 +65,11 @@ def test_pixel_store_and_window(spark, tmp_path):
 def test_label_and_point_sinks(spark, tmp_path):
     lab = spark.createDataFrame([(1, 5, 0, 0, 2, 0.5, 0.25, 0.1, 0.1)], "raster_id long, obj_id long, tile_r int, tile_c int, class_id int, cx double, cy double, bw double, bh double")
     neg = spark.createDataFrame([(1, 0, 64, 0)], "raster_id long, try int, tile_r int, tile_c int")
-    files.write_label_lines(labels.label_lines(lab, neg), str(tmp_path / "lab"))
-    got = {r["name"]: r["value"] for r in spark.read.text(str(tmp_path / "lab")).collect()}
-    assert got == {"infra_1_000000_000000": "2 0.500000 0.250000 0.100000 0.100000", "infra_neg_1_000064_000000": ""}
+    lab = lab.unionByName(lab.withColumn("obj_id", F.lit(4)).withColumn("class_id", F.lit(0)))
+    files.write_label_lines(labels.label_lines(lab, neg), str(tmp_path / "lab"), files=2)
+    read = lambda name: files.read_label_text(spark, str(tmp_path / "lab"), 1, name).first()["text"]
+    assert read("infra_1_000000_000000") == "0 0.500000 0.250000 0.100000 0.100000\n2 0.500000 0.250000 0.100000 0.100000"
+    assert read("infra_neg_1_000064_000000") == "" and len(list((tmp_path / "lab").glob("*.parquet"))) <= 2
     pts = spark.createDataFrame([(1.5, 2.5, 0, "well", 0.5)], "x double, y double, class_id int, class_name string, confidence double")
     files.write_points(pts, str(tmp_path / "pts"))
     doc = json.loads(spark.read.text(str(tmp_path / "pts")).first().value)
@@ -86,6 +88,47 @@ def test_incremental_takes_each_file_once(spark, tmp_path):
     assert folder.file_status(listed, got).filter("status = 'ok'").count() == 2
 
 
+def test_broken_files_are_reported(spark, tmp_path):
+    src, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    for i in range(3):
+        spark.range(2).selectExpr(f"id + {i} as v").coalesce(1).write.mode("append").parquet(src)
+    broken = sorted((tmp_path / "in").glob("*.parquet"))[1]
+    broken.write_bytes(broken.read_bytes()[: broken.stat().st_size // 2])
+    (tmp_path / "in" / f".{broken.name}.crc").unlink()
+    folder.process_new_files(spark, src, "v long", lambda df: df, out, state)
+    assert spark.read.parquet(out).select("source_file").distinct().count() == 2
+    failed = spark.read.parquet(out + "_failed").collect()
+    assert len(failed) == 1 and failed[0]["path"].endswith(broken.name) and failed[0]["reason"]
+
+
+def test_layers_without_or_with_odd_crs(spark, tmp_path):
+    point = {"type": "Feature", "properties": {}, "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}}
+    for name, crs in (("none", None), ("crs84", "urn:ogc:def:crs:OGC:1.3:CRS84"), ("old", "EPSG:3857"), ("odd", "local grid"), ("v", "urn:ogc:def:crs:EPSG:6.9:4326")):
+        doc = {"type": "FeatureCollection", "features": [point]}
+        if crs:
+            doc["crs"] = {"type": "name", "properties": {"name": crs}}
+        (tmp_path / f"{name}.geojson").write_text(json.dumps(doc))
+    (tmp_path / "half.geojson").write_text(json.dumps({"type": "FeatureCollection", "crs": "EPSG:4326", "features": [point]}))
+    feats, bad = files.read_layers(spark, str(tmp_path))
+    got = {r.layer: r.crs for r in feats.collect()}
+    assert got == {"none.geojson": "EPSG:4326", "crs84.geojson": "EPSG:4326", "old.geojson": "EPSG:3857", "odd.geojson": "local grid", "v.geojson": "EPSG:4326"}
+    assert [(r.path.rsplit("/", 1)[1], r.reason) for r in bad.collect()] == [("half.geojson", "partly unreadable layer")]
+    moved, unknown = vector.reproject(feats, "EPSG:3857")
+    assert unknown.first().layer == "odd.geojson"
+    x = {r.layer: r.rings[0][0].x for r in moved.collect()}
+    assert abs(x["none.geojson"] - 111319.49) < 0.01 and x["old.geojson"] == 1.0
+
+
+def test_features_meet_the_rasters_they_lie_on(spark):
+    affine = "named_struct('a', 1D, 'b', 0D, 'c', 100D * id, 'd', 0D, 'e', -1D, 'f', 50D)"
+    meta = spark.range(20).selectExpr("id as raster_id", "'f' as folder", "50 as height", "100 as width", f"{affine} as affine")
+    ring = "array(array(named_struct('x', x, 'y', 10D), named_struct('x', x + 5, 'y', 10D), named_struct('x', x + 5, 'y', 20D), named_struct('x', x, 'y', 10D)))"
+    feats = spark.range(200).selectExpr("id as feature_id", "id * 10D + 7 as x", "'f' as folder").selectExpr("*", f"{ring} as rings")
+    got = {(r.feature_id, r.raster_id) for r in vector.place(feats, meta).collect()}
+    want = {(i, k) for i in range(200) for k in range(20) if i * 10 + 7 <= 100 * k + 100 and 100 * k <= i * 10 + 12}
+    assert got == want and vector.place(feats, meta).count() == len(want)
+
+
 def test_text_rules(spark):
     df = spark.createDataFrame([("a.tif.pyrx",), ("Utility_Poly_.shp",), (".hidden",), ("no_ext",)], "n string")
     got = [tuple(r) for r in df.select(X.stem(F.col("n")), X.suffix(F.col("n")), X.layer_stem(F.col("n"))).collect()]
