@@ -17,17 +17,23 @@ table gives no pieces.
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm.common import column, map_rows, prefix_sums, stored
-from geoloom.llm.tokens import BYTE_BPE, encoder
+from geoloom.llm.tokens import BYTE_BPE, encoder, vocabulary_size
 
 CELLS_PER_ROW = 4096
 
 
-def encoded(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 0) -> DataFrame:
-    """(doc_id, source, part, place, n, ids): ``place`` counts the source's tokens before it in its partition."""
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, octets: int) -> DataFrame:
+    """(doc_id, source, part, place, n, ids): ``place`` counts the source's tokens before it in its partition.
+
+    ``ids`` are little-endian numbers of ``octets`` bytes.
+    """
 
     def make():
         from pyspark import TaskContext
@@ -39,6 +45,8 @@ def encoded(docs: DataFrame, tokenizer: str = BYTE_BPE, end_id: int = 0) -> Data
             for d, t, s in zip(doc_ids, texts, sources):
                 ids = encode(t) + end
                 n = len(ids) // 4
+                if octets != 4:
+                    ids = np.frombuffer(ids, dtype="<u4").astype(f"<u{octets}").tobytes()
                 at = sent.get(s, 0)
                 sent[s] = at + n
                 yield d, s, part, at, n, ids
@@ -81,7 +89,9 @@ def pack(
     every window holds the corpus mixture.  A queue that ends early leaves its place in
     later windows to the others.
     """
-    tok = stored(encoded(docs, tokenizer, end_id), "tokens")
+    # Ids travel in two bytes where the vocabulary allows.
+    octets = 2 if max(vocabulary_size(tokenizer), end_id + 1) <= 1 << 16 else 4
+    tok = stored(encoded(docs, tokenizer, end_id, octets), "tokens")
     per = tok.groupBy("source", "part").agg(F.sum("n").alias("t"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("base", F.coalesce(F.sum("t").over(before), F.lit(0)))
@@ -100,7 +110,7 @@ def pack(
     cells = _cells(queues)
     # The queue's figures ride along with its partitions' bases: a join on the source alone
     # would bring all rows of the largest source together.
-    bases = per.select("source", "part", "base").join(queues, "source")
+    bases = stored(per.select("source", "part", "base").join(queues, "source"), "bases")
     frags = (
         tok.join(bases, ["source", "part"])
         .withColumn("x0", F.col("base") + F.col("place"))
@@ -112,7 +122,7 @@ def pack(
         .select(
             "source", "round", "doc_id", F.col("n").alias("doc_tokens"), "a", (F.col("a") - F.col("x0")).alias("at"),
             (F.col("b") - F.col("a")).alias("m"),
-            F.expr("substring(ids, cast(4 * (a - x0) + 1 as int), cast(4 * (b - a) as int))").alias("ids"),
+            F.expr(f"substring(ids, cast({octets} * (a - x0) + 1 as int), cast({octets} * (b - a) as int))").alias("ids"),
         )
     )
     placed = frags.join(cells, ["source", "round"]).withColumn("g", F.col("cell_at") + F.col("a") - F.col("lo"))
@@ -120,12 +130,24 @@ def pack(
         placed.withColumn("sequence_id", F.explode(F.expr(f"sequence(g div {length}, (g + m - 1) div {length})")))
         .withColumn("p", F.greatest("g", F.col("sequence_id") * length))
         .withColumn("e", F.least(F.col("g") + F.col("m"), (F.col("sequence_id") + 1) * length))
-        .withColumn("ids", F.expr("substring(ids, cast(4 * (p - g) + 1 as int), cast(4 * (e - p) as int))"))
+        .select(
+            "doc_id", (F.col("at") + F.col("p") - F.col("g")).alias("start"), (F.col("e") - F.col("p")).alias("length"),
+            F.expr(f"substring(ids, cast({octets} * (p - g) + 1 as int), cast({octets} * (e - p) as int))").alias("ids"),
+            "doc_tokens", "sequence_id", (F.col("p") - F.col("sequence_id") * length).alias("offset"), "source", "round",
+        )
     )
-    return cut.select(
-        "doc_id", (F.col("at") + F.col("p") - F.col("g")).alias("start"), (F.col("e") - F.col("p")).alias("length"),
-        F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
-        (F.col("p") - F.col("sequence_id") * length).alias("offset"), "source", "round", "ids",
+
+    def make():
+        def rows(doc_id, start, n, ids, doc_tokens, sequence_id, offset, source, rnd):
+            wide = [np.frombuffer(x, dtype=f"<u{octets}").astype("<u4").tobytes() for x in ids]
+            return zip(doc_id, start, n, map(zlib.crc32, wide), doc_tokens, sequence_id, offset, source, rnd, wide)
+
+        return rows
+
+    return map_rows(
+        cut, make,
+        "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint,"
+        " source string, round bigint, ids binary",
     )
 
 

@@ -20,6 +20,12 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 CACHED_WORDS = 300_000
 
 
+def vocabulary_size(json_path: str = BYTE_BPE) -> int:
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(json_path).get_vocab_size()
+
+
 def encoder(json_path: str = BYTE_BPE) -> Callable[[str | None], bytes]:
     """A function from text (null: empty) to its ids as little-endian uint32."""
     import base64
