@@ -81,14 +81,15 @@ def simhash(text: str | None, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp)."""
+    """(doc_id, text_hash, fp)."""
 
     def make():
-        return lambda ids, texts: [(d, simhash(t, words)) for d, t in zip(ids, texts)]
+        return lambda ids, hashes, texts: [(d, h, simhash(t, words)) for d, h, t in zip(ids, hashes, texts)]
 
+    text = column(docs, "text")
     return map_rows(
-        docs.select(column(docs, "doc_id").cast("bigint").alias("doc_id"), column(docs, "text").alias("text")),
-        make, "doc_id bigint, fp bigint",
+        docs.select(column(docs, "doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text")),
+        make, "doc_id bigint, text_hash bigint, fp bigint",
     )
 
 
@@ -130,22 +131,33 @@ def links(distinct: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
 
 def groups(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id): the smallest id that links lead to, itself included."""
+    """(doc_id, text_hash, fp, component_id, root): the smallest id that links lead to, itself included.
+
+    ``root`` is a fingerprint that names the component, also where no member has an id.
+    """
     fps = stored(fingerprints(docs, words), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     roots = star_components(links(distinct), [])
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = rooted.join(least, "root").select("fp", "component_id")
-    ids = distinct.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
+    linked = rooted.join(least, "root").select("fp", "component_id", "root")
+    ids = distinct.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("root")
+    )
+    return fps.join(ids, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
-    """The documents whose id is the smallest of their group; one row of each id, all columns kept.
+    """One document of each group, that with the smallest id; all columns kept.
 
-    Documents without an id stay: they cannot be told to be the copy of another.
+    Where rows of a group repeat that id, one of them stays.  Rows without an id stay: no
+    other row can stand for them.
     """
-    kept = groups(docs, words).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull()))
+    own = groups(docs, words).filter("doc_id = component_id")
+    kept = own.groupBy("doc_id", "root").agg(F.min("text_hash").alias("text_hash")).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+    ).distinct()
+    doc_id, text_hash = column(docs, "doc_id"), F.xxhash64(column(docs, "text"))
+    named = docs.join(kept, (doc_id == F.col("_id")) & (text_hash == F.col("_hash")), "left_semi")
+    named = named.withColumn("_hash", text_hash).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return named.unionByName(docs.filter(doc_id.isNull()))
