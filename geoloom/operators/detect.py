@@ -1,15 +1,13 @@
 """Detections: coordinates, soft suppression, matching and average precision.
 
 Suppression and matching are sequential by definition.  Both are computed exactly in
-one of two ways, chosen per (raster, class) group by its counted size: groups up to
-``GROUP_BOUND`` rows run in one Python task each; larger ones run in rounds of joins
-and aggregates that never gather a group.
+rounds of joins and aggregates that never gather a group, whatever its size.  Rows are
+told apart by a number of their own, so repeated ids do no harm; equal boxes are taken in
+the order of id, then corners.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from geoloom.functions.geometry import box_iou
 from geoloom.functions.raster import to_geo
 from geoloom.operators.scans import running
 from geoloom.operators.spatial import cells_of_box, iou_pairs
-from geoloom.runtime import GROUP_BOUND, any_rows, by_group_size, cut
+from geoloom.runtime import any_rows, cut
 
 GROUP = ["raster_id", "class_id"]
 BOX = ["x1", "y1", "x2", "y2"]
@@ -38,98 +36,61 @@ def confident(boxes: DataFrame, threshold: float) -> DataFrame:
 
 # -- soft suppression ---------------------------------------------------------------
 
-_KEPT = "raster_id bigint, class_id int, det_id bigint, x1 double, y1 double, x2 double, y2 double, conf double, score double"
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Stored rows with a number each in ``row``; a table that has one keeps it."""
+    return df if "row" in df.columns else cut(df.withColumn("row", F.monotonically_increasing_id()))
 
-def soft_nms(
-    boxes: DataFrame, sigma: float, threshold: float, cell: float = 128.0, bound: int = GROUP_BOUND
-) -> DataFrame:
+
+def _before(score: str, row: str = "row", ids: tuple[str, ...] = ("det_id", "x1", "y1", "x2", "y2")):
+    """Greatest for the box to take first: score, then the smaller id, corners and number."""
+    return F.struct(F.col(score), *[(-F.col(c)).alias(f"o_{c}") for c in ids], (-F.col(row)).alias("o_row"))
+
+
+def soft_nms(boxes: DataFrame, sigma: float, threshold: float, cell: float = 128.0) -> DataFrame:
     """Gaussian soft suppression per (raster_id, class_id), adding the decayed ``score``.
 
     The best box is taken, the others lose ``exp(-iou^2 / sigma)``, those at or below
-    ``threshold`` go, and so on.  Equal scores are taken by smaller ``det_id``.  A group
-    whose best box is already at or below the threshold keeps that one box.
+    ``threshold`` go, and so on.  A group whose best box is already at or below the
+    threshold keeps that one box.
+
+    A round takes all local maxima at once: a box that leads every grid cell it touches
+    beats all boxes it overlaps, and their scores can only fall, so it is the next one taken
+    among them whatever happens elsewhere.  Each cell has at most one leader per round: a
+    round moves rows x cells, never pairs, and finding leaders is a partial aggregate.  A
+    taken box lowers its neighbours, so there are no more rounds than overlapping boxes that
+    stay above the threshold in one place, plus the steps in which a chain of neighbours
+    waits for its better ones.
     """
-    cols = [*GROUP, "det_id", *BOX, "conf"]
-    typed = boxes.select(
+    keep = [*GROUP, "det_id", *BOX, "conf"]
+    typed = numbered(boxes.select(
         F.col("raster_id").cast("bigint"), F.col("class_id").cast("int"), F.col("det_id").cast("bigint"),
         *[F.col(c).cast("double") for c in [*BOX, "conf"]],
-    )
+    ))
     # A box at or below the threshold never decays another one, so it matters only when
     # it is the best of its group.
-    live = typed.filter(F.col("conf") > threshold)
-    first = F.max_by(F.struct(*cols), F.struct(F.col("conf"), -F.col("det_id")))
-    tops = typed.groupBy(*GROUP).agg(first.alias("top")).select("top.*")
-    lone = tops.filter(F.col("conf") <= threshold).withColumn("score", F.col("conf"))
-
-    small, large = by_group_size(live, GROUP, bound)
-    out = lone.unionByName(small.groupBy(*GROUP).applyInPandas(_suppress(sigma, threshold), _KEPT))
-    if large is not None:
-        out = out.unionByName(_soft_nms_rounds(large, sigma, threshold, cell))
-    return out
-
-
-def _suppress(sigma: float, threshold: float):
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("det_id", ignore_index=True)
-        x1, y1, x2, y2 = (g[c].to_numpy() for c in BOX)
-        area = (x2 - x1) * (y2 - y1)
-        score = g["conf"].to_numpy().copy()
-        left = np.arange(len(g))
-        kept: list[int] = []
-        while left.size:
-            m = left[np.argmax(score[left])]
-            kept.append(m)
-            left = left[left != m]
-            w = np.minimum(x2[left], x2[m]) - np.maximum(x1[left], x1[m])
-            h = np.minimum(y2[left], y2[m]) - np.maximum(y1[left], y1[m])
-            inter = np.maximum(w, 0) * np.maximum(h, 0)
-            iou = inter / (area[left] + area[m] - inter + 1e-6)
-            score[left] *= np.exp(-(iou**2) / sigma)
-            left = left[score[left] > threshold]
-        return g.iloc[kept].assign(score=score[kept])
-
-    return run
-
-
-def _soft_nms_rounds(live: DataFrame, sigma: float, threshold: float, cell: float) -> DataFrame:
-    """The same result from rounds that take all local maxima at once.
-
-    A box that leads every grid cell it touches beats all boxes it overlaps, and their
-    scores can only fall, so it is the next one taken among them whatever happens
-    elsewhere.  Each cell has at most one leader per round: a round moves rows x cells,
-    never pairs, and finding leaders is a partial aggregate.  Each taken box lowers its
-    neighbours, so the number of rounds follows how many overlapping boxes can stay
-    above the threshold in one place, not the number of rows.
-    """
-    rank = F.struct(F.col("score"), -F.col("det_id"))
-    left = cut(live.withColumn("score", F.col("conf")))
-    done = None
+    tops = typed.groupBy(*GROUP).agg(F.max_by(F.struct(*keep), _before("conf")).alias("top")).select("top.*")
+    done = tops.filter(F.col("conf") <= threshold).withColumn("score", F.col("conf"))
+    left = typed.filter(F.col("conf") > threshold).withColumn("score", F.col("conf"))
+    at = [*GROUP, "cell_x", "cell_y"]
     while any_rows(left):
         spread = cells_of_box(left, cell)
-        lead = spread.groupBy(*GROUP, "cell_x", "cell_y").agg(F.max(rank).alias("lead"))
-        led = spread.join(lead, [*GROUP, "cell_x", "cell_y"])
-        flags = led.groupBy(*GROUP, "det_id", *BOX, "conf", "score").agg(
-            F.min(F.col("lead") == rank).alias("taken")
-        )
-        flags = cut(flags)
+        lead = spread.groupBy(*at).agg(F.max_by("row", _before("score")).alias("lead"))
+        led = spread.join(lead, at)
+        flags = cut(led.groupBy("row", *keep, "score").agg(F.min(F.col("lead") == F.col("row")).alias("taken")))
         taken = flags.filter("taken").drop("taken")
         rest = flags.filter("not taken").drop("taken")
-        t = cells_of_box(taken, cell).select(
-            *GROUP, "cell_x", "cell_y", *[F.col(c).alias(f"t_{c}") for c in [*BOX, "det_id"]]
-        )
-        near = cells_of_box(rest, cell).join(t, [*GROUP, "cell_x", "cell_y"])
+        t = cells_of_box(taken, cell).select(*at, *[F.col(c).alias(f"t_{c}") for c in BOX])
+        near = cells_of_box(rest, cell).join(t, at)
         near = near.withColumn("iou", box_iou("", "t_", eps_added=True)).filter("iou > 0")
         corner = (F.col("cell_x") == F.floor(F.greatest("x1", "t_x1") / cell)) & (
             F.col("cell_y") == F.floor(F.greatest("y1", "t_y1") / cell)
         )
-        decay = near.filter(corner).groupBy(*GROUP, "det_id").agg(
-            F.sum(-F.pow("iou", F.lit(2)) / sigma).alias("log_decay")
-        )
-        lowered = rest.join(decay, [*GROUP, "det_id"], "left").withColumn(
+        decay = near.filter(corner).groupBy("row").agg(F.sum(-F.pow("iou", F.lit(2)) / sigma).alias("log_decay"))
+        lowered = rest.join(decay, "row", "left").withColumn(
             "score", F.col("score") * F.exp(F.coalesce("log_decay", F.lit(0.0)))
         )
-        done = taken if done is None else done.unionByName(taken)
+        done = done.unionByName(taken.select(*keep, "score"))
         left = cut(lowered.drop("log_decay").filter(F.col("score") > threshold))
     return done
 
@@ -149,97 +110,66 @@ def detection_points(boxes: DataFrame, meta: DataFrame, names: tuple[str, ...],
 
 # -- matching -------------------------------------------------------------------------
 
-_MATCH = "raster_id bigint, class_id int, t double, det_id bigint, gt_id bigint, iou double"
 
+def match(preds: DataFrame, truth: DataFrame, thresholds: list[float], cell: float = 128.0) -> DataFrame:
+    """(raster_id, class_id, t, row, det_id, gt_id, iou): greedy one-to-one matching; ``row`` is the prediction's number.
 
-def match(
-    preds: DataFrame,
-    truth: DataFrame,
-    thresholds: list[float],
-    cell: float = 128.0,
-    bound: int = GROUP_BOUND,
-) -> DataFrame:
-    """(raster_id, class_id, t, det_id, gt_id, iou): greedy one-to-one matching.
+    Predictions go by falling confidence (ties by id and corners); each takes the free
+    ground-truth box of greatest IoU (ties likewise) if that reaches ``t``.  Boxes below
+    ``t`` can never be taken, so only pairs at or above it are looked at.
 
-    Predictions go by falling confidence (ties by ``det_id``); each takes the free
-    ground-truth box of greatest IoU (ties by ``gt_id``) if that reaches ``t``.  Boxes
-    below ``t`` can never be taken, so only pairs at or above it are looked at.
+    Computed by deferred acceptance: every free prediction asks for its best box that has
+    not refused it, every box keeps its first asker.  All boxes rank predictions the same
+    way, so the one stable matching is the greedy one.  Each round is two partial
+    aggregates and two joins over the open pairs; each refusal closes a pair.
     """
     pairs = iou_pairs(
-        preds.select(*GROUP, "det_id", *BOX, "conf"), truth.select(*GROUP, "gt_id", *BOX),
+        numbered(preds).select(*GROUP, "det_id", *BOX, "conf", "row"), numbered(truth.select(*GROUP, "gt_id", *BOX)),
         GROUP, cell, min(thresholds),
     ).select(
         F.col("raster_id").cast("bigint"), F.col("class_id").cast("int"),
         F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("t"),
         F.col("a_det_id").cast("bigint").alias("det_id"), F.col("b_gt_id").cast("bigint").alias("gt_id"),
-        F.col("a_conf").alias("conf"), "iou",
+        F.col("a_row").alias("p"), F.col("b_row").alias("g"), "iou",
+        _before("a_conf", "a_row", ("a_det_id", "a_x1", "a_y1", "a_x2", "a_y2")).alias("turn"),
+        _before("iou", "b_row", ("b_gt_id", "b_x1", "b_y1", "b_x2", "b_y2")).alias("wish"),
     ).filter("iou >= t")
-    keys = [*GROUP, "t"]
-    pairs = cut(pairs)
-    small, large = by_group_size(pairs, keys, bound)
-    out = small.groupBy(*keys).applyInPandas(_greedy_match, _MATCH)
-    if large is not None:
-        out = out.unionByName(_match_rounds(large))
-    return out
-
-
-def _greedy_match(g: pd.DataFrame) -> pd.DataFrame:
-    g = g.sort_values(["conf", "det_id", "iou", "gt_id"], ascending=[False, True, False, True])
-    used_det, used_gt, keep = set(), set(), []
-    for i, (d, t) in enumerate(zip(g["det_id"], g["gt_id"])):
-        if d not in used_det and t not in used_gt:
-            used_det.add(d)
-            used_gt.add(t)
-            keep.append(i)
-    return g.iloc[keep][["raster_id", "class_id", "t", "det_id", "gt_id", "iou"]]
-
-
-def _match_rounds(pairs: DataFrame) -> DataFrame:
-    """Deferred acceptance: every free prediction asks for its best box that has not
-    refused it, every box keeps its most confident asker.
-
-    All boxes rank predictions the same way, so the one stable matching is the greedy
-    one.  Each round is two partial aggregates and two joins over the open pairs.
-    """
-    keys = [*GROUP, "t"]
-    open_pairs = pairs
+    open_pairs = cut(pairs)
     while True:
-        ask = open_pairs.groupBy(*keys, "det_id", "conf").agg(
-            F.max_by(F.struct("gt_id", "iou"), F.struct(F.col("iou"), -F.col("gt_id"))).alias("b")
-        ).select(*keys, "det_id", "conf", "b.gt_id", "b.iou")
-        hold = ask.groupBy(*keys, "gt_id").agg(
-            F.max_by(F.struct("det_id", "iou"), F.struct(F.col("conf"), -F.col("det_id"))).alias("h")
-        )
-        asked = cut(
-            ask.join(hold, [*keys, "gt_id"]).withColumn("refused", F.col("det_id") != F.col("h.det_id"))
-        )
-        refused = asked.filter("refused").select(*keys, "det_id", "gt_id")
+        ask = open_pairs.groupBy("t", "p").agg(F.max_by(F.struct(*[c for c in open_pairs.columns if c not in ("t", "p")]), "wish").alias("b"))
+        ask = ask.select("t", "p", "b.*")
+        hold = ask.groupBy("t", "g").agg(F.max_by("p", "turn").alias("held"))
+        asked = cut(ask.join(hold, ["t", "g"]).withColumn("refused", F.col("p") != F.col("held")))
+        refused = asked.filter("refused").select("t", "p", "g")
         if not any_rows(refused):
-            return asked.select(*keys, "det_id", "gt_id", "iou")
-        open_pairs = cut(open_pairs.join(refused, [*keys, "det_id", "gt_id"], "left_anti"))
+            return asked.select(*GROUP, "t", F.col("p").alias("row"), "det_id", "gt_id", "iou")
+        open_pairs = cut(open_pairs.join(refused, ["t", "p", "g"], "left_anti"))
 
 
 # -- average precision -------------------------------------------------------------------
 
 
+def _by_confidence() -> list:
+    return [F.col("conf").desc(), *[F.col(c) for c in ("det_id", "raster_id", *BOX, "row")]]
+
+
 def average_precision(
     preds: DataFrame, truth: DataFrame, matches: DataFrame, num_classes: int, thresholds: list[float]
 ) -> DataFrame:
     """(class_id, t, ap): area under the precision envelope for every class and threshold.
 
-    Classes without ground truth have 0.  Precision falls between hits, so the envelope
+    ``preds`` are numbered rows, as matched.  Classes without ground truth have 0.  Precision falls between hits, so the envelope
     only needs the rows of true positives: ranks come from a scan over all predictions,
     the rest works on the matched ones.
     """
     spark = preds.sparkSession
     ts = F.array(*[F.lit(float(t)) for t in thresholds])
     n_gt = truth.groupBy("class_id").agg(F.count("*").alias("n_gt"))
-    order = [F.col("conf").desc(), F.col("det_id"), F.col("raster_id")]
     ranks = running(
-        preds.select("class_id", "raster_id", "det_id", "conf"), ["class_id"], order,
+        preds.select("class_id", "raster_id", "det_id", *BOX, "conf", "row"), ["class_id"], _by_confidence(),
         {"rank": ("sum", F.lit(1).cast("bigint"))},
     )
-    hits = ranks.join(matches.select("raster_id", "class_id", "det_id", "t"), ["raster_id", "class_id", "det_id"])
+    hits = ranks.join(matches.select("row", "t"), "row")
     hits = running(hits, ["class_id", "t"], [F.col("rank")], {"tp": ("sum", F.lit(1).cast("bigint"))})
     hits = hits.withColumn("precision", F.col("tp") / F.col("rank"))
     back = [F.col("rank").desc()]
@@ -268,13 +198,10 @@ COCO_THRESHOLDS = [0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]
 
 def curve(preds: DataFrame, matches: DataFrame) -> DataFrame:
     """(class_id, det_id, rank, tp, fp): cumulative hits and misses in confidence order."""
-    flags = preds.join(
-        matches.select("raster_id", "class_id", "det_id", F.lit(1).alias("hit")),
-        ["raster_id", "class_id", "det_id"], "left",
-    ).withColumn("hit", F.coalesce("hit", F.lit(0)).cast("bigint"))
-    order = [F.col("conf").desc(), F.col("det_id"), F.col("raster_id")]
+    flags = preds.join(matches.select("row", F.lit(1).alias("hit")), "row", "left")
+    flags = flags.withColumn("hit", F.coalesce("hit", F.lit(0)).cast("bigint"))
     out = running(
-        flags.select("class_id", "raster_id", "det_id", "conf", "hit"), ["class_id"], order,
+        flags.select("class_id", "raster_id", "det_id", *BOX, "conf", "row", "hit"), ["class_id"], _by_confidence(),
         {"tp": ("sum", F.col("hit")), "fp": ("sum", 1 - F.col("hit"))},
     )
     return out.select("class_id", "raster_id", "det_id", (F.col("tp") + F.col("fp")).alias("rank"), "tp", "fp")

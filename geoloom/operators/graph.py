@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.runtime import GROUP_BOUND, by_group_size, cut
+from geoloom.runtime import cut
 
 
 def min_labels(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -28,26 +27,13 @@ def min_labels(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         label = new
 
 
-def components(edges: DataFrame, keys: list[str], key_schema: str, bound: int = GROUP_BOUND) -> DataFrame:
+def components(edges: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, node, root): smallest node of each node's component, for nodes with edges.
 
-    ``edges`` has keys, ``u`` and ``v`` (bigint).  Key groups of up to ``bound`` edges
-    are solved in one Python task each, larger ones by star contraction.
+    ``edges`` has keys, ``u`` and ``v`` (bigint).
     """
     edges = cut(edges.filter("u != v").select(*keys, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    small, large = by_group_size(edges, keys, bound)
-
-    def solve(g: pd.DataFrame) -> pd.DataFrame:
-        nodes, flat = np.unique(g[["u", "v"]].to_numpy(), return_inverse=True)
-        flat = flat.reshape(-1, 2)
-        root = nodes[min_labels(len(nodes), flat[:, 0], flat[:, 1])]
-        first = g.iloc[0]
-        return pd.DataFrame({**{k: first[k] for k in keys}, "node": nodes, "root": root})
-
-    out = small.groupBy(*keys).applyInPandas(solve, f"{key_schema}, node bigint, root bigint")
-    if large is not None:
-        out = out.unionByName(star_components(large, keys))
-    return out
+    return star_components(edges, keys)
 
 
 def star_components(edges: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,58 +4,56 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.model import CLASS_BUFFER_PX, DEFAULT_BUFFER_PX
 from geoloom.operators.grid import window_pixels
 from geoloom.operators.scans import ranked
-from geoloom.runtime import GROUP_BOUND, any_rows, by_group_size, cut, seeded_int
+from geoloom.runtime import any_rows, cut, seeded_int
 
-_TILED = "raster_id bigint, obj_id bigint, tile_r int, tile_c int"
-
-
-def centred_tiles(
-    objects: DataFrame, meta: DataFrame, size: int, bound: int = GROUP_BOUND
-) -> DataFrame:
+def centred_tiles(objects: DataFrame, meta: DataFrame, size: int) -> DataFrame:
     """(raster_id, obj_id, tile_r, tile_c): each object's tile.
 
-    Objects go by ``obj_id``.  An object joins the oldest tile whose origin lies within
-    half a tile on both axes of its own centred origin, else opens a tile there.
-    Rasters with up to ``bound`` objects take one Python task each, larger ones rounds.
+    Objects go by ``obj_id``, rows that repeat one by their place.  An object joins the
+    oldest tile whose origin lies within half a tile on both axes of its own centred origin,
+    else opens a tile there.
+
+    Openers are the greedy independent set in that order, found in rounds.  Cells are half a
+    tile wide, so a cell holds at most one opener.  The first undecided object of a cell
+    opens a tile when it precedes the first ones of the eight cells around it; every object
+    within half a tile of an opener is then decided.  A round moves cells and at most nine
+    openers per object, never pairs of objects.  There are no more rounds than steps in the
+    longest chain of neighbouring cells whose first objects wait for each other.
     """
     half = size // 2
-    want = objects.join(meta.select("raster_id", "height", "width"), "raster_id").select(
+    cell = lambda x: F.floor(F.col(x) / half)
+    placed = objects.join(meta.select("raster_id", "height", "width"), "raster_id").select(
         F.col("raster_id").cast("bigint"), F.col("obj_id").cast("bigint"),
         F.greatest(F.lit(0), F.least(F.col("pr") - half, F.col("height") - size)).cast("int").alias("tr"),
         F.greatest(F.lit(0), F.least(F.col("pc") - half, F.col("width") - size)).cast("int").alias("tc"),
     )
-    small, large = by_group_size(want, ["raster_id"], bound)
-    out = small.groupBy("raster_id").applyInPandas(_first_fit(half), _TILED)
-    if large is not None:
-        out = out.unionByName(_first_fit_rounds(large, half))
-    return out
-
-
-def _first_fit(half: int):
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("obj_id", ignore_index=True)
-        tr, tc = g["tr"].to_numpy(), g["tc"].to_numpy()
-        open_r, open_c = np.empty(len(g), "int64"), np.empty(len(g), "int64")
-        slot, n = np.empty(len(g), "int64"), 0
-        for i in range(len(g)):
-            near = (np.abs(open_r[:n] - tr[i]) < half) & (np.abs(open_c[:n] - tc[i]) < half)
-            hit = int(near.argmax()) if n else 0
-            if n and near[hit]:
-                slot[i] = hit
-            else:
-                open_r[n], open_c[n], slot[i] = tr[i], tc[i], n
-                n += 1
-        return g[["raster_id", "obj_id"]].assign(tile_r=open_r[slot], tile_c=open_c[slot])
-
-    return run
+    numbered = placed.withColumn("cr", cell("tr")).withColumn("cc", cell("tc")).withColumn("_row", F.monotonically_increasing_id())
+    every = cut(numbered.withColumn("turn", F.struct("obj_id", "tr", "tc", "_row")).drop("_row"))
+    at = ["raster_id", "cr", "cc"]
+    left, found = every, [every.limit(0).select(*at, "turn")]
+    while any_rows(left):
+        first = left.groupBy(*at).agg(F.min("turn").alias("turn"))
+        least = _around(first, "cr", "cc").groupBy(*at).agg(F.min("turn").alias("least"))
+        found.append(cut(first.join(least, at).filter("turn = least").drop("least")))
+        o = _around(found[-1], "cr", "cc").select(*at, F.col("turn.tr").alias("o_r"), F.col("turn.tc").alias("o_c"))
+        near = (F.abs(F.col("tr") - F.col("o_r")) < half) & (F.abs(F.col("tc") - F.col("o_c")) < half)
+        left = cut(left.join(o, [*[left[k] == o[k] for k in at], near], "left_anti"))
+    opened = _around(reduce(DataFrame.unionByName, found), "cr", "cc").select(
+        *at, F.col("turn").alias("opener"), F.col("turn.tr").alias("tile_r"), F.col("turn.tc").alias("tile_c")
+    )
+    near = (F.abs(F.col("tr") - F.col("tile_r")) < half) & (F.abs(F.col("tc") - F.col("tile_c")) < half)
+    return (
+        every.join(opened, at).filter(near)
+        .groupBy("raster_id", "obj_id", "turn")
+        .agg(F.min_by(F.struct("tile_r", "tile_c"), "opener").alias("t"))
+        .select("raster_id", "obj_id", "t.tile_r", "t.tile_c")
+    )
 
 
 def _around(df: DataFrame, r: str, c: str) -> DataFrame:
@@ -68,43 +66,6 @@ def _around(df: DataFrame, r: str, c: str) -> DataFrame:
     )
 
 
-def _first_fit_rounds(want: DataFrame, half: int) -> DataFrame:
-    """Openers are the greedy independent set in ``obj_id`` order, found in rounds.
-
-    Cells are half a tile wide, so a cell holds at most one opener.  The first undecided
-    object of a cell opens a tile when it precedes the first ones of the eight cells
-    around it; every object within half a tile of an opener is then decided.  A round
-    moves cells and at most nine openers per object, never pairs of objects.
-    """
-    cell = lambda x: F.floor(F.col(x) / half)
-    every = cut(want.withColumn("cr", cell("tr")).withColumn("cc", cell("tc")))
-    left, found = every, []
-    while any_rows(left):
-        first = left.groupBy("raster_id", "cr", "cc").agg(
-            F.min_by(F.struct("obj_id", "tr", "tc"), "obj_id").alias("f")
-        ).select("raster_id", "cr", "cc", "f.*")
-        rival = _around(first.select("raster_id", "cr", "cc", "obj_id"), "cr", "cc")
-        least = rival.groupBy("raster_id", "cr", "cc").agg(F.min("obj_id").alias("least"))
-        opened = first.join(least, ["raster_id", "cr", "cc"]).filter("obj_id = least").drop("least")
-        found.append(cut(opened))
-        o = _around(found[-1], "cr", "cc").select(
-            "raster_id", "cr", "cc", F.col("tr").alias("o_r"), F.col("tc").alias("o_c")
-        )
-        near = (F.abs(F.col("tr") - F.col("o_r")) < half) & (F.abs(F.col("tc") - F.col("o_c")) < half)
-        same = [left[k] == o[k] for k in ("raster_id", "cr", "cc")]
-        left = cut(left.join(o, [*same, near], "left_anti"))
-    opened = _around(reduce(DataFrame.unionByName, found), "cr", "cc").select(
-        "raster_id", "cr", "cc", F.col("obj_id").alias("opener"), F.col("tr").alias("tile_r"), F.col("tc").alias("tile_c")
-    )
-    near = (F.abs(F.col("tr") - F.col("tile_r")) < half) & (F.abs(F.col("tc") - F.col("tile_c")) < half)
-    return (
-        every.join(opened, ["raster_id", "cr", "cc"]).filter(near)
-        .groupBy("raster_id", "obj_id")
-        .agg(F.min_by(F.struct("tile_r", "tile_c"), "opener").alias("t"))
-        .select("raster_id", "obj_id", "t.tile_r", "t.tile_c")
-    )
-
-
 def tile_contents(tiled: DataFrame) -> DataFrame:
     return tiled.groupBy("raster_id", "tile_r", "tile_c").agg(F.count("*").alias("n_objects"))
 

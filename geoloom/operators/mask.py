@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from geoloom.operators.graph import components as graph_components
 from geoloom.operators.graph import min_labels
-from geoloom.runtime import GROUP_BOUND, cut
+from geoloom.runtime import cut
 
 BLOCK = 256
 # Pixel code: row * CODE + column, also the order of pixels within a raster.
@@ -150,7 +150,7 @@ def _label_block(neighbours: list[tuple[int, int]]):
     return run
 
 
-def regions(pixels: DataFrame, connectivity: int, block: int = BLOCK, bound: int = GROUP_BOUND) -> DataFrame:
+def regions(pixels: DataFrame, connectivity: int, block: int = BLOCK) -> DataFrame:
     """Add ``region``, the code of the region's first pixel, to (raster_id, class_id, r, c).
 
     Blocks are labelled on their own; pixels along block borders then link the parts,
@@ -170,7 +170,7 @@ def regions(pixels: DataFrame, connectivity: int, block: int = BLOCK, bound: int
         *REGION, F.col("part").alias("u"), (F.col("r") + F.col("s.dy")).alias("r"), (F.col("c") + F.col("s.dx")).alias("c")
     )
     links = reach.join(border.select(*REGION, "r", "c", F.col("part").alias("v")), [*REGION, "r", "c"])
-    roots = graph_components(links.select(*REGION, "u", "v"), REGION, "raster_id bigint, class_id int", bound)
+    roots = graph_components(links.select(*REGION, "u", "v"), REGION)
     joined = parts.join(roots.withColumnRenamed("node", "part"), [*REGION, "part"], "left")
     return joined.select(*REGION, "r", "c", F.coalesce("root", "part").alias("region"))
 
@@ -212,12 +212,12 @@ def compose(mask: DataFrame, cleaned: DataFrame, classes: tuple[int, ...] = (1,
 
 def clean_mask(
     mask: DataFrame, meta: DataFrame, min_building_area: int, min_road_width: int,
-    block: int = BLOCK, bound: int = GROUP_BOUND,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Closing and opening per class, small regions removed, classes put together."""
     closed = morphology(mask, meta, cleanup_steps(min_road_width), block)
     least = {1: min_building_area, 2: min_building_area // 2, 3: min_building_area * 2}
-    kept = drop_small(regions(closed, 8, block, bound), least)
+    kept = drop_small(regions(closed, 8, block), least)
     return compose(mask, kept)
 
 

@@ -1,8 +1,7 @@
 """Class regions to polygons, as ring vertices in long form.
 
 A ring is never held in one value: its vertices are rows with a position, so a region's
-outline may be as long as it likes.  Regions with short outlines are traced in Python,
-many at a time; long ones by pointer doubling over their edges.
+outline may be as long as it likes.  Rings are traced by pointer doubling over their edges.
 """
 
 from __future__ import annotations
@@ -13,10 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.operators.mask import BLOCK, CODE, REGION, into_blocks, regions
-from geoloom.runtime import GROUP_BOUND, any_rows, by_group_size, cut
+from geoloom.runtime import any_rows, cut
 
 _KEY = [*REGION, "region"]
-_VERTEX = "raster_id bigint, class_id int, region bigint, ring bigint, seq bigint, x int, y int"
 _EDGE_SCHEMA = "raster_id bigint, class_id int, r int, c int, x int, y int, dir int"
 
 
@@ -48,64 +46,24 @@ def boundary_edges(mask: DataFrame, block: int = BLOCK) -> DataFrame:
     return blocks.groupBy("raster_id", "br", "bc").applyInPandas(run, _EDGE_SCHEMA)
 
 
-def ring_vertices(mask: DataFrame, block: int = BLOCK, bound: int = GROUP_BOUND) -> DataFrame:
+def ring_vertices(mask: DataFrame, block: int = BLOCK) -> DataFrame:
     """(raster_id, class_id, region, ring, seq, x, y): corners of every region's rings.
 
     Regions link pixels that share a side.  Where two pixels of one region touch at a
     corner only, the rings stay apart.  ``ring`` is the code of the ring's first edge;
     outer rings run clockwise on screen, holes the other way.
     """
-    labelled = regions(mask.filter("class_id > 0"), 4, block, bound)
+    labelled = regions(mask.filter("class_id > 0"), 4, block)
     edges = boundary_edges(mask, block).join(labelled, [*REGION, "r", "c"]).select(*_KEY, "x", "y", "dir")
-    edges = cut(edges)
-    small, large = by_group_size(edges, _KEY, bound)
-    # Many regions share a task: they are grouped by the block of their first pixel.
-    home = lambda v: F.floor(v / block).cast("int")
-    grouped = small.groupBy("raster_id", home(F.col("region") / CODE), home(F.col("region") % CODE))
-    out = grouped.applyInPandas(_trace, _VERTEX)
-    if large is not None:
-        out = out.unionByName(_trace_rounds(large))
-    return out
+    return _trace(cut(edges))
 
 
 def _doubling(n: int) -> int:
     return max(1, int(np.ceil(np.log2(max(n, 2)))) + 1)
 
 
-def _trace(g: pd.DataFrame) -> pd.DataFrame:
-    g = g.sort_values(["class_id", "region", "y", "x", "dir"], ignore_index=True)
-    n = len(g)
-    owner = g.groupby(["class_id", "region"], sort=False).ngroup().to_numpy().astype("int64")
-    x, y, d = (g[k].to_numpy().astype("int64") for k in ("x", "y", "dir"))
-    x0, y0 = x.min() - 1, y.min() - 1
-    wide, tall = x.max() - x0 + 2, y.max() - y0 + 2
-    step_x, step_y = np.array([1, 0, -1, 0])[d], np.array([0, 1, 0, -1])[d]
-    corner = lambda px, py: (owner * tall + (py - y0)) * wide + (px - x0)
-    start, end = corner(x, y), corner(x + step_x, y + step_y)
-    first = np.searchsorted(start, end, "left")
-    two = (first + 1 < n) & (start[np.minimum(first + 1, n - 1)] == end)
-    right = d[np.minimum(first + 1, n - 1)] == (d + 1) % 4
-    nxt = first + (two & right)
-    ring, p = np.minimum(np.arange(n), nxt), nxt[nxt]
-    for _ in range(_doubling(n)):
-        ring, p = np.minimum(ring, ring[p]), p[p]
-    prev = np.empty(n, "int64")
-    prev[nxt] = np.arange(n)
-    last = nxt == ring
-    p, dist = np.where(last, np.arange(n), nxt), np.where(last, 0, 1)
-    for _ in range(_doubling(n)):
-        dist, p = dist + dist[p], p[p]
-    keep = d[prev] != d
-    code = (y * CODE + x) * 4 + d
-    out = pd.DataFrame(
-        {"raster_id": g["raster_id"], "class_id": g["class_id"], "region": g["region"], "ring": code[ring], "far": -dist, "x": x, "y": y}
-    )[keep].sort_values(["class_id", "region", "ring", "far"])
-    out["seq"] = out.groupby(["class_id", "region", "ring"]).cumcount()
-    return out[["raster_id", "class_id", "region", "ring", "seq", "x", "y"]]
-
-
-def _trace_rounds(edges: DataFrame) -> DataFrame:
-    """The same rings by pointer doubling: log2(outline) self-joins on edge codes."""
+def _trace(edges: DataFrame) -> DataFrame:
+    """Rings by pointer doubling: log2(outline) self-joins on edge codes."""
     dx = F.element_at(F.array(*[F.lit(v) for v in (1, 0, -1, 0)]), F.col("dir") + 1)
     dy = F.element_at(F.array(*[F.lit(v) for v in (0, 1, 0, -1)]), F.col("dir") + 1)
     code = (F.col("y").cast("bigint") * CODE + F.col("x")) * 4 + F.col("dir")
@@ -118,7 +76,7 @@ def _trace_rounds(edges: DataFrame) -> DataFrame:
     e = ends.join(out, [*_KEY, "ex", "ey"]).groupBy(*_KEY, "id", "x", "y", "dir").agg(choice.alias("n"))
     e = cut(e.select(*_KEY, "id", "x", "y", "dir", F.col("n.n_id").alias("nxt"), F.col("n.n_dir").alias("n_dir")))
 
-    longest = e.groupBy(*_KEY).count().agg(F.max("count")).first()[0]
+    longest = e.groupBy(*_KEY).count().agg(F.max("count")).first()[0] or 1
     ring = e.select(*_KEY, "id", F.least("id", "nxt").alias("ring"), F.col("nxt").alias("p"))
     for _ in range(_doubling(longest)):
         # p stays one hop short of what ring covers, so the minimum is taken before it moves.
@@ -178,70 +136,24 @@ def to_map(vertices: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
-_SIMPLE = "raster_id bigint, class_id int, region bigint, ring bigint, seq bigint, x double, y double"
-
-
-def simplify(vertices: DataFrame, tolerance: float, bound: int = GROUP_BOUND) -> DataFrame:
+def simplify(vertices: DataFrame, tolerance: float) -> DataFrame:
     """Drop vertices within ``tolerance`` of the line that replaces them (farthest-point
-    splitting from the ring's first vertex).
+    splitting).
 
-    The first two levels always split, so a ring keeps at least four corners.
+    A ring is cut at its first vertex and at the one farthest from it, since a closed line
+    has no chord of its own; both halves then split wherever a vertex lies farther than
+    ``tolerance`` from their chord.  One round per level: every open section finds its
+    farthest vertex by a partial aggregate and is split there or closed, so the rounds follow
+    the depth of the splitting, not the number of vertices.
     """
     key = [*_KEY, "ring"]
     v = vertices.select(*key, "seq", F.col("x").cast("double"), F.col("y").cast("double"))
-    small, large = by_group_size(v, key, bound)
-    home = F.floor(F.col("region") / CODE / BLOCK), F.floor((F.col("region") % CODE) / BLOCK)
-    out = small.groupBy("raster_id", *home).applyInPandas(_simplify(tolerance), _SIMPLE)
-    if large is not None:
-        out = out.unionByName(_simplify_rounds(large, tolerance))
-    return out
-
-
-def _distance(px, py, ax, ay, bx, by):
-    ux, uy = bx - ax, by - ay
-    length = ux * ux + uy * uy
-    t = np.clip(((px - ax) * ux + (py - ay) * uy) / length, 0, 1) if length > 0 else 0.0
-    return np.hypot(px - ax - t * ux, py - ay - t * uy)
-
-
-def _simplify(tolerance: float):
-    def kept(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        n = len(x)
-        x, y = np.append(x, x[0]), np.append(y, y[0])
-        keep = np.zeros(n + 1, bool)
-        keep[0] = True
-        todo = [(0, n, 1)]
-        while todo:
-            a, b, level = todo.pop()
-            if b - a < 2:
-                continue
-            dist = _distance(x[a + 1 : b], y[a + 1 : b], x[a], y[a], x[b], y[b])
-            m = int(dist.argmax())
-            if dist[m] > tolerance or level <= 2:
-                keep[a + 1 + m] = True
-                todo += [(a, a + 1 + m, level + 1), (a + 1 + m, b, level + 1)]
-        return keep[:n]
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["class_id", "region", "ring", "seq"], ignore_index=True)
-        at = g.groupby(["class_id", "region", "ring"], sort=False).indices.values()
-        x, y = g["x"].to_numpy(), g["y"].to_numpy()
-        rows = np.concatenate([i[kept(x[i], y[i])] for i in at])
-        return g.iloc[np.sort(rows)][["raster_id", "class_id", "region", "ring", "seq", "x", "y"]]
-
-    return run
-
-
-def _simplify_rounds(v: DataFrame, tolerance: float) -> DataFrame:
-    """One round per level: every open section finds its farthest vertex by a partial
-    aggregate and is split there or closed."""
-    key = [*_KEY, "ring"]
     start = v.filter("seq = 0")
     n = v.groupBy(*key).agg(F.count("*").alias("n"))
     first = start.select(*key, F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("x").alias("bx"), F.col("y").alias("by"))
     # Sections are (a, b) in positions; the ring's end is its start once more.
     left = cut(v.filter("seq > 0").join(first, key).join(n, key).withColumn("a", F.lit(0).cast("bigint")).withColumnRenamed("n", "b"))
-    keep, level = [start], 1
+    keep, whole = [start], True
     ux, uy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     length = ux * ux + uy * uy
     t = F.when(length > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((F.col("x") - F.col("ax")) * ux + (F.col("y") - F.col("ay")) * uy) / length))).otherwise(0.0)
@@ -250,8 +162,9 @@ def _simplify_rounds(v: DataFrame, tolerance: float) -> DataFrame:
         far = left.withColumn("d", dist).groupBy(*key, "a").agg(
             F.max_by(F.struct("seq", "x", "y", "d"), F.struct(F.col("d"), -F.col("seq"))).alias("m")
         ).select(*key, "a", F.col("m.seq").alias("ms"), F.col("m.x").alias("mx"), F.col("m.y").alias("my"), F.col("m.d").alias("md"))
-        if level > 2:
+        if not whole:
             far = far.filter(F.col("md") > tolerance)
+        whole = False
         far = cut(far)
         keep.append(far.select(*key, F.col("ms").alias("seq"), F.col("mx").alias("x"), F.col("my").alias("y")))
         before = F.col("seq") < F.col("ms")
@@ -262,7 +175,6 @@ def _simplify_rounds(v: DataFrame, tolerance: float) -> DataFrame:
             F.when(before, F.col("ax")).otherwise(F.col("mx")).alias("ax"), F.when(before, F.col("ay")).otherwise(F.col("my")).alias("ay"),
             F.when(before, F.col("mx")).otherwise(F.col("bx")).alias("bx"), F.when(before, F.col("my")).otherwise(F.col("by")).alias("by"),
         ))
-        level += 1
     out = keep[0]
     for part in keep[1:]:
         out = out.unionByName(part)
@@ -270,14 +182,20 @@ def _simplify_rounds(v: DataFrame, tolerance: float) -> DataFrame:
 
 
 def valid_rings(vertices: DataFrame) -> DataFrame:
-    """Regions whose outer ring still has three corners and some area."""
+    """Rings with three corners and some area, of regions whose outer ring is such a ring.
+
+    A region whose outer ring collapsed goes whole; a hole that collapsed goes alone.  The
+    outer ring is the one of largest extent, the first vertex of the region lies on it.
+    """
     key = [*_KEY, "ring"]
     order = vertices.withColumn("seq", F.row_number().over(Window.partitionBy(*key).orderBy("seq")) - 1)
     v = _next_vertex(order)
     area = v.groupBy(*key).agg(
         F.count("*").alias("n"), F.sum(F.col("x") * F.col("ny") - F.col("nx") * F.col("y")).alias("a2")
-    )
-    good = area.filter((F.col("n") >= 3) & (F.abs(F.col("a2")) > 0)).select(*key)
+    ).withColumn("good", (F.col("n") >= 3) & (F.abs(F.col("a2")) > 0))
+    # Ring codes grow along rows and a region's first pixel is on its outer ring, so that has the least code.
+    outer = area.groupBy(*_KEY).agg(F.min_by("good", "ring").alias("whole")).filter("whole").select(*_KEY)
+    good = area.filter("good").join(outer, _KEY, "left_semi").select(*key)
     return vertices.join(good, key, "left_semi")
 
 

@@ -62,10 +62,10 @@ def self_overlaps(spark, sf):
 
 _NMS = S.DET + f""", live AS (SELECT raster_id, class_id, det_id, x1, y1, x2, y2, conf FROM det),
 nms AS (
-  SELECT 0 AS step, *, conf AS score, row_number() OVER (PARTITION BY raster_id, class_id ORDER BY conf DESC, det_id) AS rk FROM live
+  SELECT 0 AS step, *, conf AS score, row_number() OVER (PARTITION BY raster_id, class_id ORDER BY conf DESC, det_id, x1, y1, x2, y2) AS rk FROM live
   UNION ALL
   SELECT step + 1, raster_id, class_id, det_id, x1, y1, x2, y2, conf, s,
-         row_number() OVER (PARTITION BY raster_id, class_id ORDER BY s DESC, det_id)
+         row_number() OVER (PARTITION BY raster_id, class_id ORDER BY s DESC, det_id, x1, y1, x2, y2)
   FROM (SELECT o.*, o.score * exp(-pow({_iou('o', 'm', True)}, 2) / 0.9) AS s
         FROM nms o JOIN nms m ON o.raster_id = m.raster_id AND o.class_id = m.class_id AND m.rk = 1 AND o.rk > 1)
   WHERE s > 0.1)"""
@@ -92,30 +92,31 @@ def det_points(spark, sf):
 
 def _match_sql(ts: str) -> str:
     """One step per prediction in confidence order; the state is the list of taken boxes."""
-    return S.TRUTH + f""", ts AS (SELECT unnest([{ts}]) AS t),
-cand AS (SELECT d.raster_id, d.class_id, det_id, conf, gt_id, {_iou('d', 't')} AS iou
-  FROM det d JOIN truth t ON d.raster_id = t.raster_id AND d.class_id = t.class_id
+    return S.TRUTH + f""", nd AS (SELECT *, row_number() OVER (ORDER BY raster_id, class_id, det_id, x1, y1, x2, y2) AS p FROM det),
+nt AS (SELECT *, row_number() OVER (ORDER BY raster_id, class_id, gt_id, x1, y1, x2, y2) AS g FROM truth), ts AS (SELECT unnest([{ts}]) AS t),
+cand AS (SELECT d.raster_id, d.class_id, p, det_id, conf, g, gt_id, {_iou('d', 't')} AS iou
+  FROM nd d JOIN nt t ON d.raster_id = t.raster_id AND d.class_id = t.class_id
     AND d.x1 < t.x2 AND t.x1 < d.x2 AND d.y1 < t.y2 AND t.y1 < d.y2),
-c5 AS (SELECT cand.*, t, dense_rank() OVER (PARTITION BY raster_id, class_id, t ORDER BY conf DESC, det_id) AS rk
+c5 AS (SELECT cand.*, t, dense_rank() OVER (PARTITION BY raster_id, class_id, t ORDER BY conf DESC, p) AS rk
   FROM cand, ts WHERE iou >= t),
-cl AS (SELECT raster_id, class_id, t, rk, det_id, list({{'g': gt_id, 'i': iou}} ORDER BY iou DESC, gt_id) AS opts FROM c5 GROUP BY ALL),
+cl AS (SELECT raster_id, class_id, t, rk, p, det_id, list({{'g': g, 'id': gt_id, 'i': iou}} ORDER BY iou DESC, g) AS opts FROM c5 GROUP BY ALL),
 run AS (
-  SELECT raster_id, class_id, t, 0::BIGINT AS rk, 0::BIGINT AS det_id, []::BIGINT[] AS taken, NULL::BIGINT AS gt_id, NULL::DOUBLE AS iou
+  SELECT raster_id, class_id, t, 0::BIGINT AS rk, 0::BIGINT AS p, 0::BIGINT AS det_id, []::BIGINT[] AS taken, NULL::BIGINT AS gt_id, NULL::DOUBLE AS iou
   FROM (SELECT DISTINCT raster_id, class_id, t FROM cl)
   UNION ALL
-  SELECT raster_id, class_id, t, rk, det_id, CASE WHEN o IS NULL THEN taken ELSE list_append(taken, o.g) END, o.g, o.i
-  FROM (SELECT r.raster_id, r.class_id, r.t, c.rk, c.det_id, r.taken,
+  SELECT raster_id, class_id, t, rk, p, det_id, CASE WHEN o IS NULL THEN taken ELSE list_append(taken, o.g) END, o.id, o.i
+  FROM (SELECT r.raster_id, r.class_id, r.t, c.rk, c.p, c.det_id, r.taken,
                list_filter(c.opts, lambda x: NOT list_contains(r.taken, x.g))[1] AS o
         FROM run r JOIN cl c ON r.raster_id = c.raster_id AND r.class_id = c.class_id AND r.t = c.t AND c.rk = r.rk + 1)),
-m AS (SELECT raster_id, class_id, t, det_id, gt_id, iou FROM run WHERE gt_id IS NOT NULL)"""
+m AS (SELECT raster_id, class_id, t, p, det_id, gt_id, iou FROM run WHERE gt_id IS NOT NULL)"""
 
 
 def _ap_sql(ts: str) -> str:
     return _match_sql(ts) + """, flags AS (
-  SELECT d.class_id, ts.t, d.conf, d.det_id, d.raster_id, CASE WHEN m.det_id IS NULL THEN 0 ELSE 1 END AS hit
-  FROM det d CROSS JOIN ts LEFT JOIN m ON m.raster_id = d.raster_id AND m.class_id = d.class_id AND m.det_id = d.det_id AND m.t = ts.t),
+  SELECT d.class_id, ts.t, d.conf, d.p, d.det_id, d.raster_id, d.x1, d.y1, d.x2, d.y2, CASE WHEN m.p IS NULL THEN 0 ELSE 1 END AS hit
+  FROM nd d CROSS JOIN ts LEFT JOIN m ON m.p = d.p AND m.t = ts.t),
 cum AS (SELECT *, sum(hit) OVER w AS tp, count(*) OVER w AS n FROM flags
-  WINDOW w AS (PARTITION BY class_id, t ORDER BY conf DESC, det_id, raster_id ROWS UNBOUNDED PRECEDING)),
+  WINDOW w AS (PARTITION BY class_id, t ORDER BY conf DESC, det_id, raster_id, x1, y1, x2, y2, p ROWS UNBOUNDED PRECEDING)),
 pr AS (SELECT class_id, t, n, tp / (SELECT count(*) FROM truth g WHERE g.class_id = cum.class_id) AS rec, tp / n AS prec FROM cum),
 env AS (SELECT class_id, t, rec, max(prec) OVER (PARTITION BY class_id, t ORDER BY n ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS p,
   lag(rec, 1, 0) OVER (PARTITION BY class_id, t ORDER BY n) AS before FROM pr),
@@ -126,7 +127,7 @@ _COCO = ",".join(f"{t}::DOUBLE" for t in D.COCO_THRESHOLDS)
 
 
 def _scored(spark, sf, thresholds):
-    preds, truth = _preds(spark, sf), T.truth(spark, sf)
+    preds, truth = D.numbered(_preds(spark, sf)), T.truth(spark, sf)
     return D.average_precision(preds, truth, D.match(preds, truth, thresholds, CELL), 3, thresholds)
 
 
@@ -138,7 +139,7 @@ def greedy_match(spark, sf):
 
 @query("pr_curve", f"""WITH RECURSIVE {_ap_sql('0.5::DOUBLE')} SELECT class_id, raster_id, det_id, n AS rank, CAST(tp AS BIGINT) AS tp, CAST(n - tp AS BIGINT) AS fp FROM cum""")
 def pr_curve(spark, sf):
-    preds = _preds(spark, sf)
+    preds = D.numbered(_preds(spark, sf))
     return D.curve(preds, D.match(preds, T.truth(spark, sf), [0.5], CELL))
 
 

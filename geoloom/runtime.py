@@ -1,4 +1,4 @@
-"""Session-level helpers: cutting lineage and splitting groups by size."""
+"""Session-level helpers: cutting lineage, reproducible draws."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows one Python task may take for a single key.  Groups above it go through
-# the round-based form of the operator, which never gathers a group.
-GROUP_BOUND = 20_000
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's ``spark.checkpoint.dir``; make one up only in local mode."""
     sc = spark.sparkContext
@@ -39,22 +34,6 @@ def any_rows(df: DataFrame) -> bool:
     return len(df.take(1)) > 0
 
 
-def by_group_size(
-    df: DataFrame, keys: list[str], bound: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """Split ``df`` into rows of groups up to ``bound`` rows and rows of larger ones.
-
-    Only the keys of the larger groups are looked up: there are at most
-    rows / bound of them, and the usual answer is none, in which case the second
-    part is ``None`` and nothing is joined.
-    """
-    large = df.groupBy(*keys).count().filter(F.col("count") > bound).select(*keys)
-    large = cut(large)
-    if not any_rows(large):
-        return df, None
-    return df.join(large, keys, "left_anti"), df.join(large, keys, "left_semi")
-
-
 def seeded(key: Column, seed: int) -> Column:
     """Reproducible random order key that any SQL engine can recompute."""
     return F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))))

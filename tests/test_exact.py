@@ -1,4 +1,4 @@
-"""Round-based forms against the one-task forms, and both against brute force."""
+"""Round-based operators against brute force."""
 
 import numpy as np
 import pandas as pd
@@ -33,12 +33,10 @@ def iou(a, b, plus=0.0):
     return inter / (union + plus if plus else max(union, 1e-6))
 
 
-def test_soft_nms_three_ways(spark):
+def test_soft_nms(spark):
     df = boxes(spark)
     one = detect.soft_nms(df, 0.9, 0.1, 64.0)
-    many = detect.soft_nms(df, 0.9, 0.1, 64.0, bound=0)
     cols = ["raster_id", "class_id", "det_id", "score"]
-    assert rows(one.select(cols)) == rows(many.select(cols))
     want = []
     for _, g in df.toPandas().groupby(["raster_id", "class_id"]):
         left = [[r.conf, r] for r in g.itertuples()]
@@ -57,13 +55,26 @@ def test_soft_nms_keeps_a_lone_weak_box(spark):
     assert kept.count() == df.select("raster_id", "class_id").distinct().count()
 
 
-def test_matching_three_ways(spark):
+def test_repeated_ids_are_separate_boxes(spark):
+    df = boxes(spark, 60, seed=6).withColumn("det_id", F.col("det_id") % 7)
+    n = {}
+    for k in (1.0, 2.0):
+        # The copies lie elsewhere, so both kinds keep the same number of boxes.
+        n[k] = detect.soft_nms(df.withColumns({c: F.col(c) + 10_000 * (k - 1) for c in ("x1", "x2")}), 0.9, 0.1, 64.0).count()
+    both = df.unionByName(df.withColumns({c: F.col(c) + 10_000 for c in ("x1", "x2")}))
+    assert detect.soft_nms(both, 0.9, 0.1, 64.0).count() == n[1.0] + n[2.0] == 2 * n[1.0]
+    truth = df.withColumnRenamed("det_id", "gt_id").drop("conf")
+    assert detect.match(df, truth, [0.99], 64.0).count() == df.select("raster_id", "class_id", "x1", "y1", "x2", "y2").count()
+    objects = df.selectExpr("raster_id", "det_id as obj_id", "cast(y1 as int) as pr", "cast(x1 as int) as pc")
+    meta = spark.createDataFrame([(0, 400, 400), (1, 400, 400)], "raster_id long, height int, width int")
+    assert labels.centred_tiles(objects, meta, 100).count() == 60
+
+
+def test_matching(spark):
     preds = boxes(spark)
     truth = boxes(spark, 60, seed=4).withColumnRenamed("det_id", "gt_id").drop("conf")
     cols = ["raster_id", "class_id", "t", "det_id", "gt_id"]
     one = detect.match(preds, truth, [0.3, 0.6], 64.0)
-    many = detect.match(preds, truth, [0.3, 0.6], 64.0, bound=0)
-    assert rows(one.select(cols)) == rows(many.select(cols))
     p, g, want = preds.toPandas(), truth.toPandas(), []
     for t in (0.3, 0.6):
         used = set()
@@ -89,12 +100,13 @@ def test_ap_of_known_case(spark):
         [(1, 0, 7, 0.0, 0.0, 10.0, 10.0), (1, 0, 8, 20.0, 0.0, 30.0, 10.0)],
         "raster_id long, class_id int, gt_id long, x1 double, y1 double, x2 double, y2 double",
     )
+    preds = detect.numbered(preds)
     m = detect.match(preds, truth, [0.5])
     ap = {r.class_id: r.ap for r in detect.average_precision(preds, truth, m, 2, [0.5]).collect()}
     assert abs(ap[0] - (0.5 + 0.5 * 2 / 3)) < 1e-9 and ap[1] == 0.0
 
 
-def test_centred_tiles_three_ways(spark):
+def test_centred_tiles(spark):
     rng = np.random.default_rng(1)
     n = 200
     pdf = pd.DataFrame({"raster_id": rng.integers(0, 2, n), "obj_id": rng.permutation(n), "pr": rng.integers(0, 400, n), "pc": rng.integers(0, 400, n)})
@@ -102,8 +114,6 @@ def test_centred_tiles_three_ways(spark):
     objects = spark.createDataFrame(pdf)
     meta = spark.createDataFrame([(0, 400, 400), (1, 90, 400)], "raster_id long, height int, width int")
     one = labels.centred_tiles(objects, meta, 100)
-    many = labels.centred_tiles(objects, meta, 100, bound=0)
-    assert rows(one.select("raster_id", "obj_id", "tile_r", "tile_c")) == rows(many.select("raster_id", "obj_id", "tile_r", "tile_c"))
     want, tiles = [], {0: [], 1: []}
     for o in pdf.sort_values("obj_id").itertuples():
         h = 400 if o.raster_id == 0 else 90
@@ -167,14 +177,13 @@ def test_regions_across_blocks(spark):
     df = as_table(spark, a).filter("class_id > 0")
     for connectivity, steps in ((4, FOUR), (8, EIGHT)):
         want = {k: v[0] * mask.CODE + v[1] for k, v in flood({tuple(x) for x in np.argwhere(a)}, steps).items()}
-        for bound in (10_000, 0):
-            got = {(r.r, r.c): r.region for r in mask.regions(df, connectivity, 8, bound).collect()}
-            assert got == want
+        got = {(r.r, r.c): r.region for r in mask.regions(df, connectivity, 8).collect()}
+        assert got == want
 
 
 def test_star_components_of_a_path(spark):
     edges = spark.range(60).selectExpr("1 as g", "id + 1 as u", "id as v")
-    got = graph.components(edges, ["g"], "g int", bound=0)
+    got = graph.components(edges, ["g"])
     assert {r.root for r in got.collect()} == {0} and got.count() == 61
 
 
@@ -214,12 +223,17 @@ def test_clean_mask_brute_force(spark):
     assert (got == want).all()
 
 
-def test_rings_and_rounds_agree(spark):
+def test_rings_enclose_their_regions(spark):
     a = (mask_array(9, 11, seed=9, share=0.7) > 0).astype(int)
     df = as_table(spark, a)
     one = vectorise.ring_vertices(df, 4)
-    many = vectorise.ring_vertices(df, 4, bound=0)
-    assert rows(one) == rows(many)
+    corners = one.toPandas().sort_values("seq").groupby(["region", "ring"])
+    for _, g in corners:
+        x, y = g["x"].to_numpy(), g["y"].to_numpy()
+        dx, dy = np.roll(x, -1) - x, np.roll(y, -1) - y
+        # Sides follow the grid and turn at every corner; positions count from 0.
+        assert ((dx == 0) != (dy == 0)).all() and ((dx == 0) != (np.roll(dx, -1) == 0)).all()
+        assert g["seq"].tolist() == list(range(len(g)))
     area = {r.region: r.area for r in vectorise.region_summary(one).collect()}
     lab = flood({tuple(x) for x in np.argwhere(a)}, FOUR)
     n = pd.Series([v[0] * mask.CODE + v[1] for v in lab.values()]).value_counts().to_dict()
@@ -240,7 +254,7 @@ def brute_simplify(pts, tol):
             return []
         d = [dist(pts[k], pts[i], pts[j]) for k in range(i + 1, j)]
         m = int(np.argmax(d))
-        if d[m] <= tol and level > 2:
+        if d[m] <= tol and level > 1:
             return []
         k = i + 1 + m
         return split(i, k, level + 1) + [k] + split(k, j, level + 1)
@@ -248,12 +262,21 @@ def brute_simplify(pts, tol):
     return [0] + split(0, len(pts) - 1, 1)
 
 
-def test_simplify_three_ways(spark):
+def test_valid_rings_drop_whole_regions(spark):
+    ring = lambda region, ring, pts: [(1, 1, region, ring, i, x, y) for i, (x, y) in enumerate(pts)]
+    square = lambda o, n: [(o, o), (o + n, o), (o + n, o + n), (o, o + n)]
+    flat = [(0.0, 0.0), (5.0, 0.0)]
+    data = ring(10, 40, square(0.0, 9.0)) + ring(10, 80, square(2.0, 3.0)[::-1]) + ring(10, 90, flat)
+    data += ring(20, 41, flat) + ring(20, 81, square(2.0, 3.0)[::-1])
+    v = spark.createDataFrame(data, "raster_id bigint, class_id int, region bigint, ring bigint, seq bigint, x double, y double")
+    left = {(r.region, r.ring) for r in vectorise.valid_rings(v).collect()}
+    assert left == {(10, 40), (10, 80)}
+
+
+def test_simplify(spark):
     a = (mask_array(12, 12, seed=11, share=0.7) > 0).astype(int)
     v = vectorise.ring_vertices(as_table(spark, a), 8)
     one = rows(vectorise.simplify(v, 0.8).select("region", "ring", "seq"))
-    many = rows(vectorise.simplify(v, 0.8, bound=0).select("region", "ring", "seq"))
-    assert one == many
     want = []
     for (region, ring), g in v.toPandas().sort_values("seq").groupby(["region", "ring"]):
         want += [(region, ring, k) for k in brute_simplify(list(zip(g.x, g.y)), 0.8)]
