@@ -48,14 +48,16 @@ def _need(q: str, share: float) -> Column:
 def contained(docs: DataFrame, items: DataFrame, words: int = WORDS, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, item_runs, shared_runs, containment)."""
     texts = items.select(column(items, "item_id").alias("item_id"), column(items, "text").alias("item")).filter("item is not null").distinct()
-    one = texts.select("item").distinct().withColumn("words", words_of(F.col("item"))).filter("size(words) > 0")
+    # Stored, so that the numbers given to the distinct texts stay the same.
+    one = stored(texts.select("item").distinct().withColumn("item_no", F.monotonically_increasing_id()), "items")
+    one = one.withColumn("words", words_of(F.col("item"))).filter("size(words) > 0")
     sketch = (
-        _hashes(one, words)
+        _hashes(one.select("item_no", "words"), words)
         .withColumn("hs", F.array_sort(F.array_distinct("hs")))
         .withColumn("q", F.size("hs").cast("bigint"))
         .withColumn("need", _need("q", share))
-        .select("item", "q", "need", F.expr("slice(hs, 1, cast(q - need + 1 as int))").alias("hs"))
-        .select("item", "need", F.expr("cast(floor(log2(q)) as int)").alias("size_class"), F.explode("hs").alias("h"))
+        .select("item_no", "q", "need", F.expr("slice(hs, 1, cast(q - need + 1 as int))").alias("hs"))
+        .select("item_no", "need", F.expr("cast(floor(log2(q)) as int)").alias("size_class"), F.explode("hs").alias("h"))
     )
     sketch = stored(sketch, "sketches")
     cuts = sketch.groupBy("size_class").agg(F.max("h").alias("cut"), F.min("need").alias("need")).collect()
@@ -68,7 +70,7 @@ def contained(docs: DataFrame, items: DataFrame, words: int = WORDS, share: floa
         pieces.withColumn("cut", cut).withColumn("runs", F.size("hs"))
         .select("doc_id", "runs", F.explode(F.filter("hs", lambda x: x <= F.col("cut"))).alias("h"))
     )
-    met = sent.join(sketch, "h").filter("runs >= need").select("doc_id", "item").distinct()
+    met = sent.join(sketch, "h").filter("runs >= need").select("doc_id", "item_no").distinct()
     met = stored(met, "candidates")
 
     known = met.select(F.col("doc_id").alias("_id")).distinct()
@@ -79,17 +81,17 @@ def contained(docs: DataFrame, items: DataFrame, words: int = WORDS, share: floa
         .select("doc_id", words_of(F.col("text")).alias("words")).filter("size(words) > 0")
         .select(F.col("doc_id").alias("_id"), F.expr(run).alias("doc_runs"))
     )
-    wanted = one.select("item", F.expr(run).alias("item_runs_of"))
+    wanted = one.select("item_no", F.expr(run).alias("item_runs_of"))
     held = (
-        met.join(wanted, "item").join(full, F.col("doc_id").eqNullSafe(F.col("_id")))
+        met.join(wanted, "item_no").join(full, F.col("doc_id").eqNullSafe(F.col("_id")))
         .select(
-            "doc_id", "item", F.size("item_runs_of").cast("bigint").alias("item_runs"),
+            "doc_id", "item_no", F.size("item_runs_of").cast("bigint").alias("item_runs"),
             F.size(F.array_intersect("item_runs_of", "doc_runs")).cast("bigint").alias("shared_runs"),
         )
         .filter(F.col("shared_runs") >= _need("item_runs", share))
-        .groupBy("doc_id", "item", "item_runs").agg(F.max("shared_runs").alias("shared_runs"))
+        .groupBy("doc_id", "item_no", "item_runs").agg(F.max("shared_runs").alias("shared_runs"))
     )
-    return held.join(texts, "item").select(
+    return held.join(one.select("item_no", "item"), "item_no").join(texts, "item").select(
         "doc_id", "item_id", "item_runs", "shared_runs", (F.col("shared_runs") / F.col("item_runs")).alias("containment")
     )
 
