@@ -137,7 +137,12 @@ def groups(docs: DataFrame, words: int = 3) -> DataFrame:
     """
     fps = stored(fingerprints(docs, words), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = star_components(links(distinct), [])
+    return linked_groups(fps, distinct, links(distinct))
+
+
+def linked_groups(fps: DataFrame, distinct: DataFrame, edges: DataFrame) -> DataFrame:
+    """The columns of ``groups`` from rows, their distinct fingerprints with ``first_id``, and links."""
+    roots = star_components(edges, [])
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = rooted.join(least, "root").select("fp", "component_id", "root")
@@ -153,7 +158,12 @@ def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
     Where rows of a group repeat that id, one of them stays.  Rows without an id stay: no
     other row can stand for them.
     """
-    own = groups(docs, words).filter("doc_id = component_id")
+    return keep_first(docs, groups(docs, words))
+
+
+def keep_first(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """What ``keep_one`` keeps, for rows grouped as ``groups`` does."""
+    own = grouped.filter("doc_id = component_id")
     kept = own.groupBy("doc_id", "root").agg(F.min("text_hash").alias("text_hash")).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
     ).distinct()

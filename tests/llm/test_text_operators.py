@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from geoloom.llm import boosting, decontaminate, golay, pii, quality, secrets, simhash, toxicity
+from geoloom.llm import boosting, decontaminate, golay, near_copies, pii, quality, secrets, simhash, toxicity
 from geoloom.llm.common import map_rows, prefix_sums
 from tests.llm.helpers import awkward, docs, empty, rows, shingles
 
@@ -318,3 +318,45 @@ def test_prefix_sums_over_blocks(spark):
 def test_map_rows_keeps_types_on_empty_input(spark):
     df = spark.createDataFrame([], "a bigint")
     assert map_rows(df, lambda: lambda a: [(x, "y") for x in a], "a bigint, b string").collect() == []
+
+
+# -- near copies -----------------------------------------------------------------------
+
+
+def similar_components(texts):
+    """Smallest position that links of five-word Jaccard similarity 0.8 or more lead to."""
+    sets = [set(shingles(t, 5)) for t in texts]
+    low = list(range(len(texts)))
+    pairs = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 5 * len(a & b) >= 4 * len(a | b)]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in pairs:
+            if low[i] != low[j]:
+                low[i] = low[j] = min(low[i], low[j])
+                changed = True
+    return low
+
+
+@pytest.mark.parametrize("bucket", [near_copies.BUCKET, 2])
+def test_near_copies_against_brute_force(spark, bucket):
+    rng = random.Random(12)
+    texts = [None, "", "one two", "One TWO", "one three"]
+    for _ in range(12):
+        w = prose(rng, rng.choice((60, 200, 500))).split()
+        for changes in (0, 1, 2, 3, 5, 8, 12, 20):
+            v = list(w)
+            for at in rng.sample(range(len(v)), changes):
+                v[at] = "changed"
+            texts.append(" ".join(v))
+    d = docs(spark, texts, extra=True)
+    low = similar_components(texts)
+    assert len(set(low)) < len(set(brute_components([brute_fingerprint(t) for t in texts])))
+    got = rows(near_copies.groups(d, bucket=bucket), "doc_id", "component_id")
+    assert got == sorted(enumerate(low), key=str)
+    kept = near_copies.keep_one(d, bucket=bucket)
+    assert {r[0] for r in rows(kept, "doc_id")} == set(low) and kept.columns == d.columns
+    assert near_copies.keep_one(empty(d)).count() == 0
+    odd = awkward(spark)
+    ids = [r[0] for r in rows(near_copies.keep_one(odd), "doc_id")]
+    assert ids.count(5) == 1 and 6 not in ids and ids.count(0) == 1 and 1 not in ids and ids.count(None) == 2
