@@ -15,6 +15,25 @@ from geoloom.llm.common import column, fold
 LONGEST_TO_FIT = 200_000
 
 
+def _labelled(labels: DataFrame, label: str) -> DataFrame:
+    """(id, y, fold) of the labelled ids whose fold is not 0; an id labelled twice has its larger label."""
+    return (
+        labels.select(column(labels, "doc_id").alias("id"), column(labels, label).cast("int").alias("y"))
+        .dropna().groupBy("id").agg(F.max("y").alias("y"))
+        .withColumn("fold", fold(F.col("id"))).filter("fold <> 0")
+    )
+
+
+def class_counts(labels: DataFrame, label: str) -> dict[int, int]:
+    """How many ids of each label there are outside fold 0."""
+    return {r["y"]: r["n"] for r in _labelled(labels, label).groupBy("y").agg(F.count("*").alias("n")).collect()}
+
+
+def row_weights(counts: dict[int, int], per_class: dict[int, int]) -> dict[int, float]:
+    """By label, the rows that one row of ``sample`` stands for."""
+    return {y: max(1.0, counts.get(y, 0) / n) for y, n in per_class.items()}
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int]) -> pd.DataFrame:
     """(doc_id, y, fold, text) on the driver, at most ``per_class`` rows of each label.
 
@@ -23,11 +42,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int,
     larger label, a repeated document once.  Texts over ``LONGEST_TO_FIT`` characters do
     not take part in fitting.
     """
-    ids = (
-        labels.select(column(labels, "doc_id").alias("id"), column(labels, label).cast("int").alias("y"))
-        .dropna().groupBy("id").agg(F.max("y").alias("y"))
-        .withColumn("fold", fold(F.col("id"))).filter("fold <> 0")
-    )
+    ids = _labelled(labels, label)
     picks = [ids.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n) for y, n in per_class.items()]
     chosen = picks[0]
     for p in picks[1:]:

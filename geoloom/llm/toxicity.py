@@ -8,7 +8,8 @@ largest distances and the numbers of windows beyond several thresholds go throug
 logistic calibration.
 
 Dictionaries are trained on folds 1 to 3, thresholds calibrated on fold 4, fold 0 stays
-unseen.  A match in zstandard costs about four bytes whatever its length, more than a
+unseen.  The sample is bounded per class; the calibration is moved to the proportions of
+all labels outside fold 0, so scores do not depend on the bounds.  A match in zstandard costs about four bytes whatever its length, more than a
 short word is worth, so windows and dictionaries repeat every byte ``STRETCH`` times.
 
 Null and empty texts have no windows and get the calibrated score of that.  Letters A to
@@ -27,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from geoloom.llm.common import column
-from geoloom.llm.labelled import Logistic, fit_logistic, sample, score_column
+from geoloom.llm.labelled import Logistic, class_counts, fit_logistic, row_weights, sample, score_column
 
 TOXIC_ROWS, ORDINARY_ROWS = 3000, 4500
 STRETCH = 3
@@ -148,7 +149,8 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS) -> Model:
-    rows = sample(docs, labels, "toxic", {1: toxic_rows, 0: ordinary_rows})
+    per_class = {1: toxic_rows, 0: ordinary_rows}
+    rows = sample(docs, labels, "toxic", per_class)
     held = rows["fold"] == 4
     y = rows["y"].to_numpy()
     texts = rows["text"].to_numpy()
@@ -157,7 +159,10 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordina
     dictionaries = train_dictionaries(list(texts[~held & (y == 1)]), list(texts[~held & (y == 0)]))
     saved = dictionaries.distance()
     x = np.array([features(t, saved) for t in texts[held]])
-    return Model(dictionaries, fit_logistic(x, y[held]))
+    calibration = fit_logistic(x, y[held])
+    weight = row_weights(class_counts(labels, "toxic"), per_class)
+    calibration.weights[-1] += math.log(weight[1] / weight[0])
+    return Model(dictionaries, calibration)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

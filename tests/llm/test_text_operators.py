@@ -360,3 +360,17 @@ def test_near_copies_against_brute_force(spark, bucket):
     odd = awkward(spark)
     ids = [r[0] for r in rows(near_copies.keep_one(odd), "doc_id")]
     assert ids.count(5) == 1 and 6 not in ids and ids.count(0) == 1 and 1 not in ids and ids.count(None) == 2
+
+
+# -- class proportions -----------------------------------------------------------------
+
+
+def test_toxicity_scores_do_not_follow_the_bounds_of_the_sample(spark):
+    rng = random.Random(13)
+    flags = [i % 10 == 0 for i in range(3000)]
+    # The telling word occurs in ordinary texts too, so that scores are not all 0 or 1.
+    texts = [prose(rng, 30) + (" zorgling" if rng.random() < (0.9 if f else 0.1) else "") for f in flags]
+    d, l = docs(spark, texts), labels(spark, [int(f) for f in flags], "toxic")
+    for bounds in ((3000, 4500), (3000, 300)):
+        out = toxicity.scored(d, toxicity.fit(d, l, *bounds)).select("score").toPandas()["score"]
+        assert 0.06 < out.mean() < 0.15, bounds
