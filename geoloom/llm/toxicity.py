@@ -12,6 +12,10 @@ unseen.  The sample is bounded per class; the calibration is moved to the propor
 all labels outside fold 0, so scores do not depend on the bounds.  A match in zstandard costs about four bytes whatever its length, more than a
 short word is worth, so windows and dictionaries repeat every byte ``STRETCH`` times.
 
+A window longer than ``LONGEST_WINDOW`` bytes (text without blanks, as in Chinese or Thai) is
+scored in overlapping pieces that cover all of it, and its inner runs of two to four
+characters may enter the dictionaries, as words stand anywhere in it.
+
 Null and empty texts have no windows and get the calibrated score of that.  Letters A to
 Z are compared in lower case.  Without labels of both kinds every score is 0.  Equal texts
 get equal scores, extra columns are kept, an empty table stays empty.
@@ -34,7 +38,7 @@ TOXIC_ROWS, ORDINARY_ROWS = 3000, 4500
 STRETCH = 3
 THRESHOLDS = (2, 4, 6, 8, 10, 14)
 DICTIONARY_BYTES = 8000
-LONGEST_WINDOW = 40
+LONGEST_WINDOW, PIECE_STEP = 40, 20
 CACHED_WINDOWS = 400_000
 _SPLIT = re.compile(rb"[^a-z\x80-\xff]+")
 _SPREAD = [bytes([b]) * STRETCH for b in range(256)]
@@ -44,6 +48,14 @@ def windows(text: str | None) -> list[bytes]:
     return [w for w in _SPLIT.split((text or "").encode("utf-8", "surrogatepass").lower()) if len(w) > 2]
 
 
+def pieces(window: bytes) -> list[bytes]:
+    """The window, or if it is long, overlapping pieces that cover it."""
+    last = len(window) - LONGEST_WINDOW
+    if last <= 0:
+        return [window]
+    return [window[at : at + LONGEST_WINDOW] for at in (*range(0, last, PIECE_STEP), last)]
+
+
 def _stretched(raw: bytes) -> bytes:
     return b"".join([_SPREAD[b] for b in raw])
 
@@ -54,7 +66,7 @@ class Dictionaries:
     toxic: bytes
 
     def distance(self):
-        """A function from window to the bytes saved by the toxic dictionary, with a cache."""
+        """A function from piece to the bytes saved by the toxic dictionary, with a cache."""
         import zstandard
 
         def compressor(content: bytes):
@@ -71,7 +83,7 @@ class Dictionaries:
         def saved(window: bytes) -> int:
             d = seen.get(window)
             if d is None:
-                x = _stretched(b" " + window[:LONGEST_WINDOW] + b" ")
+                x = _stretched(b" " + window + b" ")
                 d = len(plain(x)) - len(toxic(x))
                 if len(seen) >= CACHED_WINDOWS:
                     seen.clear()
@@ -82,10 +94,15 @@ class Dictionaries:
 
 
 def _segments(text: str) -> set[bytes]:
-    """What a dictionary may be made of: words and their first letters, after a blank."""
+    """What a dictionary may be made of: words and their first letters, after a blank; runs inside long windows."""
     out = set()
     for w in set(windows(text)):
-        if len(w) > 3:
+        if len(w) > LONGEST_WINDOW:
+            # Where characters start; the end closes the last one.
+            at = [i for i, b in enumerate(w) if b & 0xC0 != 0x80] + [len(w)]
+            for n in (2, 3, 4):
+                out.update(w[i:j] for i, j in zip(at, at[n:]) if j - i > 5)
+        elif len(w) > 3:
             out.update(b" " + w[:n] for n in range(4, min(len(w), 9) + 1))
             out.add(b" " + w + b" ")
     return out
@@ -126,7 +143,7 @@ def train_dictionaries(toxic: list[str], ordinary: list[str]) -> Dictionaries:
 
 
 def features(text: str | None, saved) -> list[float]:
-    d = np.array([saved(w) for w in windows(text)], dtype=np.int64)
+    d = np.array([saved(p) for w in windows(text) for p in pieces(w)], dtype=np.int64)
     top = np.sort(d)[::-1][:2].clip(0, 20).tolist() + [0, 0]
     return [*top[:2], *[math.log1p(int((d >= t).sum())) for t in THRESHOLDS], math.log1p(len(d))]
 

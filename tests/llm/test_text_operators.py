@@ -374,3 +374,25 @@ def test_toxicity_scores_do_not_follow_the_bounds_of_the_sample(spark):
     for bounds in ((3000, 4500), (3000, 300)):
         out = toxicity.scored(d, toxicity.fit(d, l, *bounds)).select("score").toPandas()["score"]
         assert 0.06 < out.mean() < 0.15, bounds
+
+
+def test_all_of_a_long_window_is_scored(spark, insults):
+    d, l, _ = insults
+    saved = toxicity.fit(d, l).dictionaries.distance()
+    for n in (0, 1, 19, 20, 39, 40, 41, 97):
+        run = "kavil" * n
+        assert toxicity.features(run + "zorgling" + run, saved)[0] >= 4 > toxicity.features(run + "katen" + run, saved)[0], n
+    window = bytes(range(97, 123)) * 9
+    parts = toxicity.pieces(window)
+    assert max(map(len, parts)) <= toxicity.LONGEST_WINDOW and all(any(window[i : i + 20] in p for p in parts) for i in range(len(window) - 19))
+
+
+def test_toxicity_of_texts_without_blanks(spark):
+    rng = random.Random(14)
+    signs = [chr(c) for c in range(0x4E00, 0x4E50)]
+    flags = [i % 4 == 0 for i in range(400)]
+    text = lambda n: "".join(rng.choices(signs, k=n))
+    texts = [text(rng.randint(40, 60)) + ("龘龙龚" if f else "") + text(20) for f in flags]
+    d, l = docs(spark, texts), labels(spark, [int(f) for f in flags], "toxic")
+    got = dict(rows(toxicity.scored(d, toxicity.fit(d, l)), "doc_id", "score"))
+    assert sum((got[i] >= 0.5) == f for i, f in enumerate(flags)) >= 396
