@@ -396,3 +396,25 @@ def test_toxicity_of_texts_without_blanks(spark):
     d, l = docs(spark, texts), labels(spark, [int(f) for f in flags], "toxic")
     got = dict(rows(toxicity.scored(d, toxicity.fit(d, l)), "doc_id", "score"))
     assert sum((got[i] >= 0.5) == f for i, f in enumerate(flags)) >= 396
+
+
+# -- accounts and hexadecimal addresses ------------------------------------------------
+
+
+def test_every_generator_can_add_a_span(spark):
+    rng = random.Random(15)
+    n = rng.randint
+    texts = []
+    for i in range(300):
+        t = prose(rng, 30)
+        texts.append([t, f"{t} call +1 ({n(200, 999)}) {n(200, 999)}-{n(1000, 9999)} now", f"{t} mail ab{i}.cd@mail{i}.example.com ok"][i % 3])
+    model = pii.fit(docs(spark, texts))
+    for kind, span in [
+        ("account", "DE89370400440532013000"), ("account", "GB82 WEST 1234 5698 7654 32"), ("account", "FR1420041010050500013M02606"),
+        ("hexaddress", "2001:db8:85a3:8d3:1319:8a2e:370:7348"), ("hexaddress", "fe80:1:2:3::7b"), ("hexaddress", "00:1B:44:11:3A:B7"),
+        ("address", "bob at example dot com"),
+    ]:
+        text = f"katen losor {span} milvil negom"
+        assert (kind, 12, 12 + len(span)) in model.spans(text)[1], span
+    for plain in ("DE88370400440532013000", "AB12 CD34 EF56 GH78 JK90", "01:23:45:12", "4:3:2:1", "a:b:c:d"):
+        assert model.spans(f"katen losor {plain} milvil negom") == ([], []), plain
