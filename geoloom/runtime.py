@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's ``spark.checkpoint.dir``; make one up only in local mode."""
     sc = spark.sparkContext
@@ -20,10 +22,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the cluster's checkpoint folder, which all executors see."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it from there.
+
+    Later stages then start from files, whichever executors have been lost since.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that loops do not grow the plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` in the shared folder, so that loops do not grow the plan.
+
+    What is read back is planned by the size of its files.  A checkpointed frame would keep
+    the size estimate of the plan it came from, which every self-join of a loop squares.
+    """
+    return stored(df, "round")
 
 
 def slices(spark: SparkSession) -> int:
