@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,29 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoloom.runtime import ensure_checkpoint_dir
+from geoloom.runtime import shared_path, stored  # noqa: F401  (operators take them from here)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's checkpoint folder, which all executors see."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it from there.
-
-    Later stages then start from files, whichever executors have been lost since.
-    """
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def column(df: DataFrame, name: str) -> Column:
     """A column of ``df`` by exact name, also where the name holds dots."""
     return df[f"`{name}`"]
