@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import decontaminate, neighbours, packing, pii, quality, secrets, simhash, token_counts, toxicity, warc
+from geoloom.llm import (
+    balanced,
+    decontaminate,
+    infill,
+    lexical,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 from geoloom.llm.common import fold, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,11 +82,28 @@ def op10_decontamination(spark, sf):
     return decontaminate.contained(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op11_lexical(spark, sf):
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op12_balanced(spark, sf):
+    return balanced.mix(table(spark, sf, "documents"))
+
+
+def op13_infill(spark, sf):
+    made = infill.transformed(table(spark, sf, "documents"))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+        sha(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_toxicity, op2_simhash, op3_secrets, op4_quality, op5_pii, op6_warc, op7_neighbours, op8_packing,
-        op9_token_counts, op10_decontamination,
+        op9_token_counts, op10_decontamination, op11_lexical, op12_balanced, op13_infill,
     )
 }
 
@@ -85,3 +116,4 @@ def pipeline(spark, sf):
 
 QUERIES["pipeline"] = pipeline
 ORACLES: dict[str, str] = {"op6_warc": warc.ORACLE, "op10_decontamination": decontaminate.ORACLE}
+ORACLES |= {"op11_lexical": lexical.ORACLE, "op13_infill": infill.ORACLE}
