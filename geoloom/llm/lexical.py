@@ -3,7 +3,7 @@
 Every document gets a code of ``depth`` bits: on which sides of random hyperplanes its vector
 of term weights lies, seen from the mean document.  Documents with a common prefix of codes
 are alike, so prefixes are nested clusters.  A term's posting list is cut into blocks by the
-prefix length at which a block holds about ``BLOCK`` of *its* postings: rare terms have few
+prefix length at which a block holds about ``POSTINGS`` of *its* postings: rare terms have few
 wide blocks, frequent ones many narrow ones.  The summary of a block is the coordinatewise
 maximum over the documents of its cluster: a term's greatest contribution to any score.
 
@@ -34,7 +34,7 @@ from collections import Counter
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm.common import column, map_rows, stored
@@ -47,7 +47,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLD = str.maketrans(UPPER, LOWER)
 _FIND = re.compile(TERM).findall
 
-BLOCK = 64
+BLOCK = 64  # documents of a narrowest cluster, on average
+POSTINGS = 32  # of a list's block, on average
 DEEPEST = 24
 LEVELS = 3  # bits between the prefix lengths that have summaries
 SEEDS, SEED_CLUSTERS = 1024, 4
@@ -143,17 +144,37 @@ def summaries(postings: DataFrame, levels: list[int]) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
-def _score(want: str) -> Column:
-    """The score of a document for the term numbers in ``want``."""
-    return F.expr(f"aggregate(arrays_zip(ids, parts), 0L, (a, x) -> a + if(array_contains({want}, x.ids), x.parts, 0L))")
+def scored(asked: DataFrame, wants: dict[int, list[int]], floors: dict[int, int], terms_known: int) -> DataFrame:
+    """(q, row, doc_id, score) of the documents' items ``qs`` where the score reaches the item's floor.
+
+    ``asked`` has row, doc_id, ids, parts and qs.  A document's contributions are laid out by
+    term number once; an item's score is the sum over its numbers.
+    """
+
+    def make():
+        items = {q: np.array(want, dtype=np.int64) for q, want in wants.items()}
+        # Longs on Python's side: one item's score stays far below 2 ** 63.
+        line = np.zeros(terms_known, dtype=np.int64)
+
+        def rows(row, doc_id, ids, parts, qs):
+            for r, d, i, p, asked_items in zip(row, doc_id, ids, parts, qs):
+                line[i] = p
+                for q in asked_items:
+                    score = int(line[items[q]].sum())
+                    if score >= floors.get(q, 1):
+                        yield q, r, d, score
+                line[i] = 0
+
+        return rows
+
+    return map_rows(asked.select("row", "doc_id", "ids", "parts", "qs"), make, "q bigint, row bigint, doc_id bigint, score bigint")
 
 
 # -- search ------------------------------------------------------------------------------------
 
 
-def _floors(postings: DataFrame, tops: DataFrame, wants: DataFrame, shift: int, k: int) -> DataFrame:
-    """(q, floor): a score that ``k`` documents reach at least, 1 where the seeds are too few."""
-    flat = wants.select("q", F.explode("want").alias("id"))
+def _floors(postings: DataFrame, tops: DataFrame, flat: DataFrame, wants: dict[int, list[int]], known: int, shift: int, k: int) -> dict[int, int]:
+    """Item number to a score that ``k`` documents reach at least; items with too few seeds have none."""
     bounds = tops.filter(F.col("shift") == shift).join(flat, "id").groupBy("q", "node").agg(F.sum("top").alias("bound"))
     best = bounds.groupBy("q", F.pmod(F.xxhash64("node"), F.lit(SEED_CLUSTERS)).alias("g")).agg(F.max_by("node", F.struct("bound", "node")).alias("node"))
     seeds = best.groupBy("node").agg(F.collect_list("q").alias("qs"))
@@ -161,14 +182,13 @@ def _floors(postings: DataFrame, tops: DataFrame, wants: DataFrame, shift: int,
     sizes = postings.groupBy(cluster.alias("node")).agg(F.ceil(F.count("*") / SEEDS).alias("shares"))
     # Of an overfull cluster a share of the documents will do: any k scores give a floor.
     some = postings.withColumn("node", cluster).join(seeds.join(sizes, "node"), "node").filter("pmod(xxhash64(row), shares) = 0")
-    scored = some.select("row", "ids", "parts", F.explode("qs").alias("q")).join(wants.select("q", "want"), "q").select("q", _score("want").alias("score"))
     kth = F.get(F.sort_array(F.collect_list("score"), asc=False), k - 1)
-    found = scored.filter("score > 0").groupBy("q").agg(kth.alias("floor"))
-    return wants.select("q").join(found, "q", "left").select("q", F.greatest(F.coalesce("floor", F.lit(1)), F.lit(1)).alias("floor"))
+    found = scored(some, wants, {}, known).groupBy("q").agg(kth.alias("floor")).filter("floor is not null")
+    return dict(tuple(r) for r in found.toLocalIterator())
 
 
 def _search(docs: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
-    """Results of one batch of items."""
+    """Results of one batch of items, whose terms and floors the driver and the tasks hold."""
     vocabulary = [r[0] for r in items.select(F.explode("terms").alias("t")).distinct().orderBy("t").toLocalIterator()]
     number = {t: i for i, t in enumerate(vocabulary)}
     counts = counted(docs, number)
@@ -179,24 +199,24 @@ def _search(docs: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
     weights = np.array([weight(documents, int(x)) for x in df], dtype=np.int64)
     depth = min(DEEPEST, max(0, math.ceil(math.log2(max(documents, 1) / block))))
     levels = list(range(0, depth + LEVELS, LEVELS))
-    # The prefix that leaves a term's blocks about ``block`` postings each.
-    wide = [depth - max(0, math.floor(math.log2(max(int(x), 1) / block))) for x in df]
+    # The prefix that leaves a term's blocks about ``POSTINGS`` postings each.
+    wide = [depth - max(0, math.ceil(math.log2(max(int(x), 1) / POSTINGS))) for x in df]
     shifts = np.array([min(levels[-1], -(-max(s, 0) // LEVELS) * LEVELS) for s in wide], dtype=np.int64)
     postings = placed(counts, weights, df / max(documents, 1), shifts, documents, max(length, 1), depth)
     tops = summaries(postings, levels)
 
-    def make():
-        return lambda qs, item_ids, found: [(q, i, [number[t] for t in ts]) for q, i, ts in zip(qs, item_ids, found)]
-
-    wants = stored(map_rows(items.select("q", "item_id", "terms"), make, f"q bigint, item_id {dict(items.dtypes)['item_id']}, want array<int>"), "item-terms")
-    shift_of = docs.sparkSession.createDataFrame([(i, int(s)) for i, s in enumerate(shifts)], "id int, shift int")
-    floors = stored(_floors(postings, tops, wants, levels[min(1, len(levels) - 1)], k), "floors")
+    wants = {r["q"]: [number[t] for t in r["terms"]] for r in items.select("q", "terms").toLocalIterator()}
+    spark = docs.sparkSession
+    flat = stored(spark.createDataFrame([(q, i) for q, want in wants.items() for i in want], "q bigint, id int"), "item-terms")
+    shift_of = spark.createDataFrame([(i, int(s)) for i, s in enumerate(shifts)], "id int, shift int")
+    seed_shift = next((s for s in levels if block << s >= 2 * k), levels[-1])
+    floors = _floors(postings, tops, flat, wants, len(vocabulary), seed_shift, k)
+    floor_of = spark.createDataFrame([(q, floors.get(q, 1)) for q in wants], "q bigint, floor bigint")
 
     # Lists that a result must appear in one of: the least ones, together below the floor, are left out.
-    flat = wants.select("q", F.explode("want").alias("id"))
     greatest = tops.filter(F.col("shift") == levels[-1]).groupBy("id").agg(F.max("top").alias("top"))
     upto = Window.partitionBy("q").orderBy("top", "id").rowsBetween(Window.unboundedPreceding, 0)
-    lists = flat.join(greatest, "id").join(floors, "q").withColumn("together", F.sum("top").over(upto)).filter("together >= floor")
+    lists = flat.join(greatest, "id").join(floor_of, "q").withColumn("together", F.sum("top").over(upto)).filter("together >= floor")
     lists = stored(lists.join(shift_of, "id").select("q", "id", "shift", "floor"), "lists")
 
     blocks = stored(lists.join(tops.select("shift", "id", "node"), ["shift", "id"]), "blocks")
@@ -207,11 +227,10 @@ def _search(docs: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
 
     each = postings.select("row", F.explode(F.arrays_zip("ids", "nodes")).alias("p")).select("row", F.col("p.ids").alias("id"), F.col("p.nodes").alias("node"))
     chosen = each.join(kept, ["id", "node"]).groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("qs"))).alias("qs"))
-    found = postings.select("row", "doc_id", "ids", "parts").join(chosen, "row").withColumn("q", F.explode("qs"))
-    scored = found.join(wants, "q").join(floors, "q").select("q", "item_id", "doc_id", "row", _score("want").alias("score"), "floor")
+    found = scored(postings.join(chosen, "row"), wants, floors, len(vocabulary))
     order = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "row")
-    ranked = scored.filter("score >= floor").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("item_id", "rank", "doc_id", "score")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.join(items.select("q", "item_id"), "q").select("item_id", "rank", "doc_id", "score")
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = TOP, block: int = BLOCK, most_terms: int = MOST_TERMS) -> DataFrame:
