@@ -1,27 +1,76 @@
 """Class regions to polygons, as ring vertices in long form.
 
 A ring is never held in one value: its vertices are rows with a position, so a region's
-outline may be as long as it likes.  Rings are traced by pointer doubling over their edges.
+outline may be as long as it likes.  Every block follows its own edges to chains; only chains
+that cross block borders are put together by pointer doubling, so what a round shuffles grows
+with the borders of the blocks and not with the outlines.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.operators.mask import BLOCK, CODE, REGION, into_blocks, regions
+from geoloom.operators.scans import ranked
 from geoloom.runtime import any_rows, cut
 
 _KEY = [*REGION, "region"]
-_EDGE_SCHEMA = "raster_id bigint, class_id int, r int, c int, x int, y int, dir int"
+_CHAIN_SCHEMA = (
+    "raster_id bigint, class_id int, r int, c int, first bigint, nxt bigint, xs array<int>, ys array<int>"
+)
+# By direction (right, down, left, up): the step, and where a pixel's edge begins.
+_DX, _DY = np.array([1, 0, -1, 0]), np.array([0, 1, 0, -1])
+_SX, _SY = np.array([0, 1, 1, 0]), np.array([0, 0, 1, 1])
+
+
+def _successors(a: np.ndarray, y: np.ndarray, x: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Pixel and direction of the edge after each edge; ``a`` holds classes with a margin of one.
+
+    The class lies to the right of its edges.  Right turn first, then straight on, then left,
+    so pixels of a region that touch at a corner only stay apart.
+    """
+    own = a[y, x]
+    ay, ax = y + _DY[d], x + _DX[d]
+    left = (d + 3) % 4
+    by, bx = ay + _DY[left], ax + _DX[left]
+    right, straight = a[ay, ax] != own, a[by, bx] != own
+    return (
+        np.where(right, y, np.where(straight, ay, by)), np.where(right, x, np.where(straight, ax, bx)),
+        np.where(right, (d + 1) % 4, np.where(straight, d, left)),
+    )
 
 
-def boundary_edges(mask: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Unit edges between a class and anything else, with the pixel inside.
+def _paths(after: np.ndarray) -> list[list[int]]:
+    """Edges in order along every path and cycle of ``after`` (-1: leaves the block)."""
+    n = len(after)
+    follows = np.zeros(n, bool)
+    follows[after[after >= 0]] = True
+    step, seen, out = after.tolist(), [False] * n, []
+    # Paths from their heads; what is left are cycles, entered at their least edge.
+    for start in [*np.flatnonzero(~follows).tolist(), *range(n)]:
+        if seen[start]:
+            continue
+        path, at = [], start
+        while at >= 0 and not seen[at]:
+            seen[at] = True
+            path.append(at)
+            at = step[at]
+        out.append(path)
+    return out
+
+
+def boundary_chains(mask: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Chains of unit edges between a class and anything else, one row each.
 
-    Directions 0..3 are right, down, left, up; the class lies to the right of its edges.
+    ``first`` is the code of a chain's first edge and ``nxt`` that of the edge after its last,
+    ``xs``, ``ys`` are the corners at which its edges end, (r, c) is the pixel inside its first
+    edge.  A chain begins where its outline enters the block or at the least edge that the
+    outline has there; an outline within a block is one chain that follows itself.
     """
     typed = mask.filter("class_id > 0").select(
         F.col("raster_id").cast("bigint"), F.col("class_id").cast("int"), "r", "c"
@@ -30,20 +79,39 @@ def boundary_edges(mask: DataFrame, block: int = BLOCK) -> DataFrame:
     def run(g: pd.DataFrame) -> pd.DataFrame:
         first = g.iloc[0]
         r0, c0 = int(first["br"]) * block - 1, int(first["bc"]) * block - 1
-        a = np.zeros((block + 2, block + 2), "int8")
+        a = np.zeros((block + 4, block + 4), "int8")
         a[g["r"].to_numpy() - r0, g["c"].to_numpy() - c0] = g["class_id"].to_numpy()
-        own = a[1:-1, 1:-1]
-        around = [a[:-2, 1:-1], a[1:-1, 2:], a[2:, 1:-1], a[1:-1, :-2]]
-        start = [(0, 0), (1, 0), (1, 1), (0, 1)]
-        out = []
-        for d, (other, (dx, dy)) in enumerate(zip(around, start)):
-            y, x = np.nonzero((own > 0) & (own != other))
-            r, c = y + r0 + 1, x + c0 + 1
-            out.append(pd.DataFrame({"class_id": own[y, x], "r": r, "c": c, "x": c + dx, "y": r + dy, "dir": d}))
-        return pd.concat(out).assign(raster_id=first["raster_id"])[["raster_id", "class_id", "r", "c", "x", "y", "dir"]]
+        own = a[1 : block + 1, 1 : block + 1]
+        around = [a[:block, 1 : block + 1], a[1 : block + 1, 2 : block + 2], a[2 : block + 2, 1 : block + 1], a[1 : block + 1, :block]]
+        found = [np.nonzero((own > 0) & (own != other)) for other in around]
+        y = np.concatenate([f[0] for f in found]) + 1
+        x = np.concatenate([f[1] for f in found]) + 1
+        d = np.repeat(np.arange(4), [len(f[0]) for f in found])
+        code = ((y + r0 + _SY[d]).astype("int64") * CODE + x + c0 + _SX[d]) * 4 + d
+        order = np.argsort(code)
+        y, x, d, code = y[order], x[order], d[order], code[order]
+        ny, nx, nd = _successors(a, y, x, d)
+        number = np.full((4, block + 4, block + 4), -1)
+        number[d, y, x] = np.arange(len(d))
+        after = number[nd, ny, nx]
+        n_code = ((ny + r0 + _SY[nd]).astype("int64") * CODE + nx + c0 + _SX[nd]) * 4 + nd
+        ex, ey, turns = x + c0 + _SX[d] + _DX[d], y + r0 + _SY[d] + _DY[d], d != nd
+        rows = []
+        for path in map(np.array, _paths(after)):
+            least = int(np.argmin(code[path]))
+            for part in (path[:least], path[least:]):
+                if len(part):
+                    ends = part[turns[part]]
+                    head = part[0]
+                    rows.append((class_of(a, y[head], x[head]), y[head] + r0, x[head] + c0, code[head], n_code[part[-1]], ex[ends], ey[ends]))
+        out = pd.DataFrame(rows, columns=["class_id", "r", "c", "first", "nxt", "xs", "ys"])
+        return out.assign(raster_id=first["raster_id"])[["raster_id", "class_id", "r", "c", "first", "nxt", "xs", "ys"]]
+
+    def class_of(a, y, x):
+        return int(a[y, x])
 
     blocks = into_blocks(typed, block, F.lit(1))
-    return blocks.groupBy("raster_id", "br", "bc").applyInPandas(run, _EDGE_SCHEMA)
+    return blocks.groupBy("raster_id", "br", "bc").applyInPandas(run, _CHAIN_SCHEMA)
 
 
 def ring_vertices(mask: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -54,54 +122,57 @@ def ring_vertices(mask: DataFrame, block: int = BLOCK) -> DataFrame:
     outer rings run clockwise on screen, holes the other way.
     """
     labelled = regions(mask.filter("class_id > 0"), 4, block)
-    edges = boundary_edges(mask, block).join(labelled, [*REGION, "r", "c"]).select(*_KEY, "x", "y", "dir")
-    return _trace(cut(edges))
-
-
-def _doubling(n: int) -> int:
-    return max(1, int(np.ceil(np.log2(max(n, 2)))) + 1)
-
-
-def _trace(edges: DataFrame) -> DataFrame:
-    """Rings by pointer doubling: log2(outline) self-joins on edge codes."""
-    dx = F.element_at(F.array(*[F.lit(v) for v in (1, 0, -1, 0)]), F.col("dir") + 1)
-    dy = F.element_at(F.array(*[F.lit(v) for v in (0, 1, 0, -1)]), F.col("dir") + 1)
-    code = (F.col("y").cast("bigint") * CODE + F.col("x")) * 4 + F.col("dir")
-    e = edges.withColumn("id", code)
-    out = e.select(*_KEY, F.col("x").alias("ex"), F.col("y").alias("ey"), F.col("id").alias("n_id"), F.col("dir").alias("n_dir"))
-    ends = e.withColumn("ex", F.col("x") + dx).withColumn("ey", F.col("y") + dy)
-    # Right turn first, then straight on, then left.
-    turn = (F.col("n_dir") - F.col("dir") + 6) % 4
-    choice = F.max_by(F.struct("n_id", "n_dir"), F.when(turn == 3, 2).when(turn == 2, 1).otherwise(0))
-    e = ends.join(out, [*_KEY, "ex", "ey"]).groupBy(*_KEY, "id", "x", "y", "dir").agg(choice.alias("n"))
-    e = cut(e.select(*_KEY, "id", "x", "y", "dir", F.col("n.n_id").alias("nxt"), F.col("n.n_dir").alias("n_dir")))
-
-    longest = e.groupBy(*_KEY).count().agg(F.max("count")).first()[0] or 1
-    ring = e.select(*_KEY, "id", F.least("id", "nxt").alias("ring"), F.col("nxt").alias("p"))
-    for _ in range(_doubling(longest)):
-        # p stays one hop short of what ring covers, so the minimum is taken before it moves.
-        there = ring.select(*_KEY, F.col("id").alias("p"), F.col("ring").alias("q_ring"), F.col("p").alias("q"))
-        ring = cut(
-            ring.join(there, [*_KEY, "p"]).select(*_KEY, "id", F.least("ring", "q_ring").alias("ring"), F.col("q").alias("p"))
+    chains = cut(boundary_chains(mask, block).withColumn("n", F.size("xs").cast("bigint")))
+    links = chains.select("raster_id", "first", "nxt", "n")
+    closed = links.filter("first = nxt").select("raster_id", "first", F.col("first").alias("ring"), F.lit(0).cast("bigint").alias("at"), F.col("n").alias("total"))
+    whole = closed.unionByName(_put_together(cut(links.filter("first != nxt"))))
+    whole = cut(whole)
+    # The pixel inside a ring's first edge tells its region.
+    heads = chains.join(whole.filter("first = ring").select("raster_id", "first"), ["raster_id", "first"])
+    named = heads.join(labelled, [*REGION, "r", "c"]).select("raster_id", F.col("first").alias("ring"), "region")
+    placed = chains.select("raster_id", "class_id", "first", "xs", "ys").join(whole, ["raster_id", "first"]).join(named, ["raster_id", "ring"])
+    corners = placed.select(*_KEY, "ring", "at", "total", F.posexplode(F.arrays_zip("xs", "ys")).alias("k", "p"))
+    # A ring begins with the corner at which its first edge starts, the last one to be an end.
+    return corners.select(*_KEY, "ring", ((F.col("at") + F.col("k") + 1) % F.col("total")).alias("seq"), F.col("p.xs").alias("x"), F.col("p.ys").alias("y"))
+
+
+def _put_together(links: DataFrame) -> DataFrame:
+    """(raster_id, first, ring, at, total): the least chain of each ring, corners before a chain, corners of all.
+
+    ``links`` are chains with successors in other blocks.  Both numbers come by pointer
+    doubling: log2(chains of a ring) self-joins of a row per chain.
+    """
+    key = ["raster_id", "first"]
+    if not any_rows(links):
+        return links.select(*key, F.col("first").alias("ring"), F.lit(0).cast("bigint").alias("at"), F.col("n").alias("total"))
+
+    def least(t: DataFrame) -> DataFrame:
+        there = t.select("raster_id", F.col("first").alias("p"), F.col("ring").alias("q_ring"), F.col("p").alias("q"))
+        return t.join(there, ["raster_id", "p"]).select(
+            *key, F.least("ring", "q_ring").alias("ring"), F.col("q").alias("p"), (F.col("q_ring") < F.col("ring")).alias("moved")
         )
-    e = cut(e.join(ring.select(*_KEY, "id", "ring"), [*_KEY, "id"]))
+
+    ring = links.select(*key, F.col("first").alias("ring"), F.col("nxt").alias("p"))
+    while True:
+        # Windows of equal minima tile the ring, so a round without change is the last.
+        ring = cut(least(least(ring)))
+        if not any_rows(ring.filter("moved")):
+            break
+    found = ring.select(*key, "ring")
     last = F.col("nxt") == F.col("ring")
-    rank = e.select(*_KEY, "id", F.when(last, F.col("id")).otherwise(F.col("nxt")).alias("p"), F.when(last, 0).otherwise(1).cast("bigint").alias("dist"))
-    for _ in range(_doubling(longest)):
-        there = rank.select(*_KEY, F.col("id").alias("p"), F.col("dist").alias("q_dist"), F.col("p").alias("q"))
-        rank = cut(rank.join(there, [*_KEY, "p"]).select(*_KEY, "id", (F.col("dist") + F.col("q_dist")).alias("dist"), F.col("q").alias("p")))
-    turned = e.filter("dir != n_dir").select(*_KEY, F.col("nxt").alias("id"))
-    size = e.groupBy(*_KEY, "ring").agg(F.count("*").alias("n_edges"))
-    corners = (
-        e.join(turned, [*_KEY, "id"], "left_semi").join(rank.select(*_KEY, "id", "dist"), [*_KEY, "id"])
-        .join(size, [*_KEY, "ring"])
-        .withColumn("at", F.col("n_edges") - 1 - F.col("dist"))
-    )
-    # Positions count edges; corners keep that order.  Consecutive numbers come from a scan.
-    from geoloom.operators.scans import ranked
+    rest = links.join(found, key).select(*key, "ring", F.col("n").alias("sum"), F.when(~last, F.col("nxt")).alias("p"))
 
-    numbered = ranked(corners.select(*_KEY, "ring", "at", "x", "y"), [*_KEY, "ring"], [F.col("at")], "seq")
-    return numbered.select(*_KEY, "ring", (F.col("seq") - 1).alias("seq"), "x", "y")
+    def further(t: DataFrame) -> DataFrame:
+        there = t.select("raster_id", F.col("first").alias("p"), F.col("sum").alias("q_sum"), F.col("p").alias("q"))
+        return t.join(there, ["raster_id", "p"], "left").select(
+            *key, "ring", (F.col("sum") + F.coalesce("q_sum", F.lit(0))).alias("sum"), F.col("q").alias("p")
+        )
+
+    rest = cut(rest)
+    while any_rows(rest.filter("p is not null")):
+        rest = cut(further(further(rest)))
+    total = rest.filter("first = ring").select("raster_id", "ring", F.col("sum").alias("total"))
+    return rest.join(total, ["raster_id", "ring"]).select(*key, "ring", (F.col("total") - F.col("sum")).alias("at"), "total")
 
 
 # -- measures, simplification, output ---------------------------------------------------------
@@ -136,49 +207,205 @@ def to_map(vertices: DataFrame, meta: DataFrame) -> DataFrame:
     )
 
 
-def simplify(vertices: DataFrame, tolerance: float) -> DataFrame:
-    """Drop vertices within ``tolerance`` of the line that replaces them (farthest-point
-    splitting).
+_RING = [*_KEY, "ring"]
+# Sections of more vertices are split in rounds, one level each.
+SECTION = 20_000
+_STATE = [*_RING, "seq", "x", "y", "a", "b", "ax", "ay", "bx", "by"]
+_STATE_SCHEMA = (
+    "raster_id bigint, class_id int, region bigint, ring bigint, seq bigint, x double, y double, "
+    "a bigint, b bigint, ax double, ay double, bx double, by double"
+)
 
-    A ring is cut at its first vertex and at the one farthest from it, since a closed line
-    has no chord of its own; both halves then split wherever a vertex lies farther than
-    ``tolerance`` from their chord.  One round per level: every open section finds its
-    farthest vertex by a partial aggregate and is split there or closed, so the rounds follow
-    the depth of the splitting, not the number of vertices.
-    """
-    key = [*_KEY, "ring"]
-    v = vertices.select(*key, "seq", F.col("x").cast("double"), F.col("y").cast("double"))
-    start = v.filter("seq = 0")
-    n = v.groupBy(*key).agg(F.count("*").alias("n"))
-    first = start.select(*key, F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    # Sections are (a, b) in positions; the ring's end is its start once more.
-    left = cut(v.filter("seq > 0").join(first, key).join(n, key).withColumn("a", F.lit(0).cast("bigint")).withColumnRenamed("n", "b"))
-    keep, whole = [start], True
+
+def _distance() -> Column:
+    """From (x, y) to the chord of the vertex's section."""
     ux, uy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
     length = ux * ux + uy * uy
-    t = F.when(length > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), ((F.col("x") - F.col("ax")) * ux + (F.col("y") - F.col("ay")) * uy) / length))).otherwise(0.0)
-    dist = F.hypot(F.col("x") - F.col("ax") - t * ux, F.col("y") - F.col("ay") - t * uy)
-    while any_rows(left):
-        far = left.withColumn("d", dist).groupBy(*key, "a").agg(
+    along = ((F.col("x") - F.col("ax")) * ux + (F.col("y") - F.col("ay")) * uy) / length
+    t = F.when(length > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), along))).otherwise(0.0)
+    return F.hypot(F.col("x") - F.col("ax") - t * ux, F.col("y") - F.col("ay") - t * uy)
+
+
+def _kept(px: np.ndarray, py: np.ndarray, tolerance: float, force: bool) -> np.ndarray:
+    """Positions kept of one section; the last point is its end and not among them."""
+    kept, stack = [0], [(0, len(px) - 1, force)]
+    while stack:
+        i, j, split = stack.pop()
+        if j - i < 2:
+            continue
+        ux, uy = px[j] - px[i], py[j] - py[i]
+        dx, dy = px[i + 1 : j] - px[i], py[i + 1 : j] - py[i]
+        length = ux * ux + uy * uy
+        t = np.clip((dx * ux + dy * uy) / length, 0.0, 1.0) if length > 0 else 0.0
+        far = np.hypot(dx - t * ux, dy - t * uy)
+        m = int(np.argmax(far))
+        if far[m] <= tolerance and not split:
+            continue
+        kept.append(i + 1 + m)
+        stack += [(i, i + 1 + m, False), (i + 1 + m, j, False)]
+    return np.sort(kept)
+
+
+def _settle_small(sections: DataFrame, tolerance: float, force: bool) -> DataFrame:
+    """Sections of bounded length: each is split to its end where its rows, in order, pass by."""
+
+    def done(g: pd.DataFrame) -> pd.DataFrame:
+        x, y, seq = g["x"].to_numpy(), g["y"].to_numpy(), g["seq"].to_numpy()
+        end = g.iloc[0]
+        px, py, ps = np.append(x, end["bx"]), np.append(y, end["by"]), np.append(seq, int(end["b"]))
+        kept = _kept(px, py, tolerance, force)
+        mine = np.searchsorted(kept, np.arange(len(x)), "right") - 1
+        i, j = kept[mine], np.append(kept, len(x))[mine + 1]
+        return g.assign(a=ps[i], b=ps[j], ax=px[i], ay=py[i], bx=px[j], by=py[j])
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for part in parts:
+            part = part if held is None else pd.concat([held, part], ignore_index=True)
+            ids = part[[*_RING, "a"]].to_numpy()
+            starts = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1)))
+            groups = [part.iloc[i:j] for i, j in zip(starts, starts[1:])]
+            # The last section may go on in the next batch.
+            held = part.iloc[starts[-1] :]
+            if groups:
+                yield pd.concat([done(g) for g in groups])
+        if held is not None and len(held):
+            yield done(held)
+
+    ordered = sections.repartition(*_RING, "a").sortWithinPartitions(*_RING, "a", "seq")
+    return ordered.select(*_STATE).mapInPandas(run, _STATE_SCHEMA)
+
+
+def _settle(sections: DataFrame, tolerance: float, force: bool, longest: int) -> DataFrame:
+    """Split sections at their farthest vertex until all vertices are within ``tolerance``.
+
+    Rows of a section share (a, b), its ends, and their coordinates; the row of ``a`` itself
+    is the section's first.  With ``force`` the first split is made however near the vertices
+    are.  A section's outcome depends on its own vertices alone, so those of up to ``longest``
+    are settled in one pass; longer ones are split in rounds, by partial aggregates, first.
+    """
+    at = [*_RING, "a"]
+    out = None
+    while True:
+        size = sections.groupBy(*at).agg(F.count("*").alias("_n")).filter(F.col("_n") > longest)
+        long = cut(size.select(*at))
+        if not any_rows(long):
+            done = _settle_small(sections, tolerance, force)
+            return done if out is None else out.unionByName(done)
+        short = sections.join(long, at, "left_anti")
+        out_now = _settle_small(short, tolerance, force)
+        out = out_now if out is None else out.unionByName(out_now)
+        wide = cut(sections.join(long, at, "left_semi"))
+        far = wide.filter("seq > a").withColumn("d", _distance()).groupBy(*at).agg(
             F.max_by(F.struct("seq", "x", "y", "d"), F.struct(F.col("d"), -F.col("seq"))).alias("m")
-        ).select(*key, "a", F.col("m.seq").alias("ms"), F.col("m.x").alias("mx"), F.col("m.y").alias("my"), F.col("m.d").alias("md"))
-        if not whole:
+        )
+        far = far.select(*at, F.col("m.seq").alias("ms"), F.col("m.x").alias("mx"), F.col("m.y").alias("my"), F.col("m.d").alias("md"))
+        if not force:
             far = far.filter(F.col("md") > tolerance)
-        whole = False
         far = cut(far)
-        keep.append(far.select(*key, F.col("ms").alias("seq"), F.col("mx").alias("x"), F.col("my").alias("y")))
+        out = out.unionByName(wide.join(far, at, "left_anti"))
         before = F.col("seq") < F.col("ms")
-        split = left.join(far, [*key, "a"]).filter("seq != ms")
-        left = cut(split.select(
-            *key, "seq", "x", "y",
-            F.when(before, F.col("a")).otherwise(F.col("ms")).alias("a"), F.when(before, F.col("ms")).otherwise(F.col("b")).alias("b"),
-            F.when(before, F.col("ax")).otherwise(F.col("mx")).alias("ax"), F.when(before, F.col("ay")).otherwise(F.col("my")).alias("ay"),
-            F.when(before, F.col("mx")).otherwise(F.col("bx")).alias("bx"), F.when(before, F.col("my")).otherwise(F.col("by")).alias("by"),
+        pick = lambda yes, no, name: F.when(before, F.col(yes)).otherwise(F.col(no)).alias(name)
+        sections = cut(wide.join(far, at).select(
+            *_RING, "seq", "x", "y", pick("a", "ms", "a"), pick("ms", "b", "b"), pick("ax", "mx", "ax"),
+            pick("ay", "my", "ay"), pick("mx", "bx", "bx"), pick("my", "by", "by"),
         ))
-    out = keep[0]
-    for part in keep[1:]:
-        out = out.unionByName(part)
-    return out
+        out, force = cut(out), False
+
+
+def _crossing() -> Column:
+    """Chords p and q meet in a point that is inside at least one of them, or are the same."""
+    eps = 1e-9
+
+    def side(a: str, b: str, c: str) -> Column:
+        ux, uy = F.col(f"{b}x") - F.col(f"{a}x"), F.col(f"{b}y") - F.col(f"{a}y")
+        vx, vy = F.col(f"{c}x") - F.col(f"{a}x"), F.col(f"{c}y") - F.col(f"{a}y")
+        turn = ux * vy - uy * vx
+        # Points of a raster's grid in map units are on a line up to rounding.
+        return F.when(F.abs(turn) <= eps * (ux * ux + uy * uy + vx * vx + vy * vy), 0).otherwise(F.signum(turn))
+
+    def inside(a: str, b: str, c: str) -> Column:
+        ux, uy = F.col(f"{b}x") - F.col(f"{a}x"), F.col(f"{b}y") - F.col(f"{a}y")
+        dot = (F.col(f"{c}x") - F.col(f"{a}x")) * ux + (F.col(f"{c}y") - F.col(f"{a}y")) * uy
+        length = ux * ux + uy * uy
+        return (side(a, b, c) == 0) & (dot > eps * length) & (dot < (1 - eps) * length)
+
+    same = lambda a, b: (F.col(f"{a}x") == F.col(f"{b}x")) & (F.col(f"{a}y") == F.col(f"{b}y"))
+    proper = (side("pa", "pb", "qa") * side("pa", "pb", "qb") < 0) & (side("qa", "qb", "pa") * side("qa", "qb", "pb") < 0)
+    touch = inside("pa", "pb", "qa") | inside("pa", "pb", "qb") | inside("qa", "qb", "pa") | inside("qa", "qb", "pb")
+    return proper | touch | (same("pa", "qa") & same("pb", "qb")) | (same("pa", "qb") & same("pb", "qa"))
+
+
+def _in_cells(chords: DataFrame) -> DataFrame:
+    """A row per grid cell that a chord passes; cells are about two chords wide.
+
+    A chord is walked column by column, so its rows follow its length and not its extent.
+    """
+    size = chords.groupBy("raster_id").agg(
+        F.greatest(2 * F.avg(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))), F.lit(1e-12)).alias("cell")
+    )
+    at = lambda v: F.floor(v / F.col("cell"))
+    spread = chords.join(size, "raster_id").withColumn("cx", F.explode(F.sequence(at(F.least("ax", "bx")), at(F.greatest("ax", "bx")))))
+    slope = (F.col("by") - F.col("ay")) / (F.col("bx") - F.col("ax"))
+    edge = lambda k: F.greatest(F.least("ax", "bx"), F.least(F.greatest("ax", "bx"), (F.col("cx") + k) * F.col("cell")))
+    y_at = lambda x: F.when(F.col("ax") == F.col("bx"), F.lit(None)).otherwise(F.col("ay") + slope * (x - F.col("ax")))
+    y1, y2 = F.coalesce(y_at(edge(0)), F.col("ay")), F.coalesce(y_at(edge(1)), F.col("by"))
+    pad = F.col("cell") * 1e-9
+    return spread.withColumn("cy", F.explode(F.sequence(at(F.least(y1, y2) - pad), at(F.greatest(y1, y2) + pad)))).drop("cell")
+
+
+def crossing_chords(chords: DataFrame) -> DataFrame:
+    """Pairs of chords of one region that meet elsewhere than in common ends.
+
+    ``chords`` have the ring's keys, a, b and both ends; the result has the keys of one chord
+    (ring, a, b) and the other (q_ring, q_a), in both orders.
+    """
+    cells = _in_cells(chords.select(*_RING, "a", "b", "ax", "ay", "bx", "by"))
+    ends = [("ax", "ax"), ("ay", "ay"), ("bx", "bx"), ("by", "by")]
+    p = cells.select(*_KEY, "cx", "cy", "ring", "a", "b", *[F.col(c).alias(f"p{c}") for c, _ in ends])
+    q = cells.select(*_KEY, "cx", "cy", F.col("ring").alias("q_ring"), F.col("a").alias("q_a"), *[F.col(c).alias(f"q{c}") for c, _ in ends])
+    other = (F.col("ring") != F.col("q_ring")) | (F.col("a") != F.col("q_a"))
+    met = p.join(q, [*_KEY, "cx", "cy"]).filter(other & _crossing())
+    return met.select(*_RING, "a", "b", "q_ring", "q_a").distinct()
+
+
+def chords(vertices: DataFrame) -> DataFrame:
+    """Sides of rings (positions in ``seq``, gaps allowed) with both ends, numbered along the ring."""
+    dense = cut(ranked(vertices, _RING, [F.col("seq")], "_at").withColumn("seq", F.col("_at") - 1).drop("_at"))
+    return _next_vertex(dense).select(
+        *_RING, F.col("seq").alias("a"), (F.col("seq") + 1).alias("b"),
+        *[F.col(v).cast("double").alias(n) for v, n in (("x", "ax"), ("y", "ay"), ("nx", "bx"), ("ny", "by"))],
+    )
+
+
+def simplify(vertices: DataFrame, tolerance: float, keep_topology: bool = False, longest: int = SECTION) -> DataFrame:
+    """Drop vertices within ``tolerance`` of the line that replaces them (farthest-point
+    splitting).
+
+    A ring is cut at its first vertex and at the one farthest from it, since a closed line
+    has no chord of its own; both halves then split wherever a vertex lies farther than
+    ``tolerance`` from their chord.
+
+    With ``keep_topology`` a chord is accepted only if it meets no other chord of its region
+    but in common ends: sections of chords that do are split once more, and what they leave is
+    looked at again.  Original edges meet in corners alone, so this ends, and no ring crosses
+    itself or another ring of its region, nor does one collapse to a line.
+    """
+    v = vertices.select(*_RING, "seq", F.col("x").cast("double"), F.col("y").cast("double"))
+    n = v.groupBy(*_RING).agg(F.count("*").alias("b"), F.min_by(F.struct("x", "y"), "seq").alias("s"))
+    ends = [F.col(f"s.{c}").alias(f"{e}{c}") for e in "ab" for c in "xy"]
+    whole = v.join(n, _RING).select(*_RING, "seq", "x", "y", F.lit(0).cast("bigint").alias("a"), "b", *ends)
+    state = _settle(cut(whole), tolerance, True, longest)
+    if keep_topology:
+        state = cut(state)
+        while True:
+            bad = crossing_chords(state.filter("seq = a")).filter("b - a > 1").select(*_RING, "a").distinct()
+            bad = cut(bad)
+            if not any_rows(bad):
+                break
+            again = cut(state.join(bad, [*_RING, "a"], "left_semi"))
+            state = cut(state.join(bad, [*_RING, "a"], "left_anti").unionByName(_settle(again, tolerance, True, longest)))
+    return state.filter("seq = a").select(*_RING, "seq", "x", "y")
 
 
 def valid_rings(vertices: DataFrame) -> DataFrame:
@@ -188,8 +415,8 @@ def valid_rings(vertices: DataFrame) -> DataFrame:
     outer ring is the one of largest extent, the first vertex of the region lies on it.
     """
     key = [*_KEY, "ring"]
-    order = vertices.withColumn("seq", F.row_number().over(Window.partitionBy(*key).orderBy("seq")) - 1)
-    v = _next_vertex(order)
+    order = ranked(vertices, key, [F.col("seq")], "_at").withColumn("seq", F.col("_at") - 1).drop("_at")
+    v = _next_vertex(cut(order))
     area = v.groupBy(*key).agg(
         F.count("*").alias("n"), F.sum(F.col("x") * F.col("ny") - F.col("nx") * F.col("y")).alias("a2")
     ).withColumn("good", (F.col("n") >= 3) & (F.abs(F.col("a2")) > 0))

@@ -8,6 +8,7 @@ from geoloom.operators import vectorise as V
 from geoloom.plans import sqltables as S
 from geoloom.plans import tables as T
 from geoloom.plans.registry import query
+from geoloom.runtime import cut
 
 BLOCK = 32
 AREA, ROAD = 12, 3
@@ -139,8 +140,22 @@ def class_layers(spark, sf):
 
 @query("simplified_vectors")
 def simplified_vectors(spark, sf):
-    """Simplification has no SQL form; tests check it against brute force."""
-    return V.valid_rings(V.simplify(V.ring_vertices(T.mask(spark, sf), BLOCK), 0.5))
+    """Simplification has no SQL form; tests check it against brute force, and SQL its rings."""
+    return V.valid_rings(V.simplify(V.ring_vertices(T.mask(spark, sf), BLOCK), 0.5, keep_topology=True))
+
+
+# Rings by Euler's number of the 2 x 2 pixels around every lattice point; none may be lost or cross.
+@query("simplified_rings", f"""WITH RECURSIVE {_OUTLINE},
+euler AS (SELECT raster_id, class_id, region, sum(CASE WHEN n = 1 THEN 1 WHEN n = 3 THEN -1 WHEN n = 2 AND s IN (2, 32) THEN 2 ELSE 0 END) AS e FROM around GROUP BY ALL)
+SELECT raster_id, class_id, count(*) AS regions, CAST(sum(2 - e / 4) AS BIGINT) AS rings, CAST(0 AS BIGINT) AS crossings FROM euler GROUP BY ALL""")
+def simplified_rings(spark, sf):
+    """Regions, rings and crossing chords of the simplified outlines."""
+    kept = cut(V.valid_rings(V.simplify(V.ring_vertices(T.mask(spark, sf), BLOCK), 1.5, keep_topology=True)))
+    per = kept.groupBy("raster_id", "class_id").agg(
+        F.count_distinct("region").alias("regions"), F.count_distinct("region", "ring").alias("rings")
+    )
+    bad = V.crossing_chords(V.chords(kept)).groupBy("raster_id", "class_id").agg(F.count("*").alias("crossings"))
+    return per.join(bad, ["raster_id", "class_id"], "left").fillna(0, ["crossings"])
 
 
 @query("gradient", f"""WITH {S.PIXELS}, {_SIZE}, pos AS (SELECT p.raster_id, p.r, p.c, height, width, dy, dx,

@@ -139,7 +139,7 @@ def infer(
     raw = probs.select("raster_id", "r", "c", blend.argmax(F.col("probs")).alias("class_id")).filter("class_id > 0")
     cleaned = cut(mask.clean_mask(cut(raw), meta, seg.min_building_area, seg.min_road_width, block))
     rings = cut(vectorise.ring_vertices(cleaned, block))
-    outlines = vectorise.valid_rings(vectorise.simplify(vectorise.to_map(rings, meta), tolerance))
+    outlines = vectorise.valid_rings(vectorise.simplify(vectorise.to_map(rings, meta), tolerance, keep_topology=True))
     out = {"mask": cleaned, "outlines": vectorise.with_class_names(outlines, SEG_CLASSES)}
     if roof_probs is not None:
         named = roof_probs.select(

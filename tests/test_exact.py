@@ -1,10 +1,14 @@
 """Round-based operators against brute force."""
 
+import time
+
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from geoloom.operators import detect, graph, labels, mask, scans, vectorise
+from geoloom.runtime import cut
 
 
 def rows(df):
@@ -281,3 +285,98 @@ def test_simplify(spark):
     for (region, ring), g in v.toPandas().sort_values("seq").groupby(["region", "ring"]):
         want += [(region, ring, k) for k in brute_simplify(list(zip(g.x, g.y)), 0.8)]
     assert one == sorted(want)
+
+
+def crossing_sides(rings):
+    """Pairs of sides, given as lists of points, that meet elsewhere than in common ends; whole numbers."""
+    sides = [(tuple(r[i]), tuple(r[(i + 1) % len(r)])) for r in rings for i in range(len(r))]
+    side = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+    def within(a, b, c):
+        dot = (c[0] - a[0]) * (b[0] - a[0]) + (c[1] - a[1]) * (b[1] - a[1])
+        return side(a, b, c) == 0 and 0 < dot < (b[0] - a[0]) ** 2 + (b[1] - a[1]) ** 2
+
+    bad = 0
+    for i, (a, b) in enumerate(sides):
+        for c, d in sides[:i]:
+            proper = side(a, b, c) * side(a, b, d) < 0 and side(c, d, a) * side(c, d, b) < 0
+            bad += proper or {a, b} == {c, d} or within(a, b, c) or within(a, b, d) or within(c, d, a) or within(c, d, b)
+    return bad
+
+
+def spiral(n):
+    """One arm, a pixel wide, with a gap of a pixel to the next turn."""
+    a = np.zeros((n + 2, n + 2), int)
+    r, c, d = 1, 1, 0
+    a[r, c] = 1
+    free = lambda y, x: 1 <= y <= n and 1 <= x <= n and not a[y, x]
+    for _ in range(n * n):
+        for turn in (0, 1):
+            dy, dx = ((0, 1), (1, 0), (0, -1), (-1, 0))[(d + turn) % 4]
+            y, x = r + dy, c + dx
+            around = a[y - 1 : y + 2, x - 1 : x + 2].sum() if free(y, x) else 9
+            if around <= 2:
+                r, c, d = y, x, (d + turn) % 4
+                a[r, c] = 1
+                break
+        else:
+            break
+    return a
+
+
+@pytest.mark.parametrize("longest", [20_000, 7])
+def test_simplify_keeps_topology(spark, longest):
+    neck = np.zeros((20, 20), int)
+    neck[1:9, 1:9] = neck[11:19, 11:19] = 1
+    for i in range(8, 12):
+        neck[i, i] = neck[i, i + 1] = 1
+    noisy = (mask_array(20, 20, seed=5, share=0.75) > 0).astype(int)
+    shapes = [spiral(20), neck, noisy]
+    table = as_table(spark, shapes[0]).filter("false")
+    for i, a in enumerate(shapes):
+        table = table.unionByName(as_table(spark, a).withColumn("raster_id", F.lit(i).cast("bigint")))
+    v = vectorise.ring_vertices(table, 8)
+    before = v.toPandas()
+    plain_crosses = 0
+    for tol in (1.2, 4.0) if longest > 7 else (4.0,):
+        after = vectorise.simplify(v, tol, keep_topology=True, longest=longest).toPandas()
+        plain = vectorise.simplify(v, tol, longest=longest).toPandas()
+        assert len(plain) <= len(after) < len(before)
+        for key, g in after.sort_values("seq").groupby(["raster_id", "region"]):
+            rings = [list(zip(h.x, h.y)) for _, h in g.groupby("ring")]
+            assert crossing_sides(rings) == 0 and min(map(len, rings)) >= 3
+            flat = plain[(plain.raster_id == key[0]) & (plain.region == key[1])].sort_values("seq")
+            plain_crosses += crossing_sides([list(zip(h.x, h.y)) for _, h in flat.groupby("ring")])
+        for key, g in before.sort_values("seq").groupby(["raster_id", "region", "ring"]):
+            kept = after[(after.raster_id == key[0]) & (after.ring == key[2])].sort_values("seq")
+            pts, ends = list(zip(g.x, g.y)), kept.seq.tolist() + [len(g)]
+            for i, j in zip(ends, ends[1:]):
+                a, b = np.array(pts[i], float), np.array(pts[j % len(g)], float)
+                for k in range(i + 1, j):
+                    t = np.clip(np.dot(pts[k] - a, b - a) / max(np.dot(b - a, b - a), 1e-9), 0, 1)
+                    assert np.hypot(*(pts[k] - a - t * (b - a))) <= tol + 1e-9
+    # The shapes are hard enough for the plain form to fail.
+    assert plain_crosses > 0
+
+
+@pytest.mark.parametrize("block", [3, 5, 64])
+def test_rings_do_not_depend_on_blocks(spark, block):
+    a = mask_array(23, 17, seed=3, share=0.8)
+    key = ["class_id", "region", "ring", "seq", "x", "y"]
+    want = getattr(test_rings_do_not_depend_on_blocks, "want", None)
+    got = rows(vectorise.ring_vertices(as_table(spark, a), block).select(*key))
+    if want is not None:
+        assert got == want
+    test_rings_do_not_depend_on_blocks.want = got
+
+
+def test_many_rounds_stay_flat(spark):
+    """Rounds of self-joins: neither the plan nor its size estimates grow."""
+    t = cut(spark.range(64).withColumn("p", (F.col("id") + 1) % 64))
+    took = []
+    for _ in range(40):
+        start = time.perf_counter()
+        there = t.select(F.col("id").alias("p"), F.col("p").alias("q"))
+        t = cut(t.join(there, "p").select("id", F.col("q").alias("p")))
+        took.append(time.perf_counter() - start)
+    assert sum(took[-10:]) < 3 * sum(took[5:15]) + 1
