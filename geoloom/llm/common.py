@@ -21,6 +21,15 @@ def column(df: DataFrame, name: str) -> Column:
     return df[f"`{name}`"]
 
 
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` has not, in any case."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{stem}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[], Callable[..., Iterable[tuple]]],

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm import golay
-from geoloom.llm.common import column, map_rows, stored
+from geoloom.llm.common import column, fresh, map_rows, stored
 from geoloom.operators.graph import star_components
 
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -164,10 +164,11 @@ def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
 def keep_first(docs: DataFrame, grouped: DataFrame) -> DataFrame:
     """What ``keep_one`` keeps, for rows grouped as ``groups`` does."""
     own = grouped.filter("doc_id = component_id")
+    by_id, by_text = fresh(docs, "id"), fresh(docs, "hash")
     kept = own.groupBy("doc_id", "root").agg(F.min("text_hash").alias("text_hash")).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+        F.col("doc_id").alias(by_id), F.col("text_hash").alias(by_text)
     ).distinct()
     doc_id, text_hash = column(docs, "doc_id"), F.xxhash64(column(docs, "text"))
-    named = docs.join(kept, (doc_id == F.col("_id")) & (text_hash == F.col("_hash")), "left_semi")
-    named = named.withColumn("_hash", text_hash).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    named = docs.join(kept, (doc_id == kept[by_id]) & (text_hash == kept[by_text]), "left_semi")
+    named = named.withColumn(by_text, text_hash).dropDuplicates(["doc_id", by_text]).drop(by_text)
     return named.unionByName(docs.filter(doc_id.isNull()))

@@ -4,7 +4,7 @@ import re
 
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-CLASHING = "score double, h string, fp bigint, words string, n bigint, round int, ids string, part int, key string, root bigint"
+CLASHING = "score double, h string, fp bigint, words string, n bigint, round int, ids string, part int, key string, root bigint, _id string, _hash string, _text_md5 string"
 
 
 def docs(spark, texts, extra=False):
