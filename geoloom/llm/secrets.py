@@ -151,20 +151,20 @@ REDACTED = {"assign": "[SECRET]", "access": "[ACCESS-KEY]", "hex": "[HEX]", "ran
 
 
 def found(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans)."""
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random)."""
 
     def make():
         def rows(ids, texts):
             for d, t in zip(ids, texts):
                 base, every = model.spans(t)
                 n = [sum(s[0] == k for s in every) for k in KINDS]
-                yield d, *n, digest(base), joined(every)
+                yield d, *n[:-1], digest(base), joined(every), n[-1]
 
         return rows
 
     return map_rows(
         docs.select(column(docs, "doc_id").cast("bigint").alias("doc_id"), column(docs, "text").alias("text")), make,
-        "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, n_random bigint, base_sha256 string, spans string",
+        "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_random bigint",
     )
 
 
