@@ -64,6 +64,63 @@ def is_valid_polygon(rings: Column) -> Column:
     return is_present(rings) & F.coalesce(F.forall(rings, ok), F.lit(False))
 
 
+def numbered_edges(rings: Column) -> Column:
+    """All edges of some length as struct<x1,y1,x2,y2,ring,k>: the ring's number and the edge's in it."""
+    of_ring = lambda ring, i: F.transform(
+        ring_edges(ring),
+        lambda e, k: F.struct(*[e[c].alias(c) for c in ("x1", "y1", "x2", "y2")], i.alias("ring"), k.alias("k")),
+    )
+    return F.filter(F.flatten(F.transform(rings, of_ring)), lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
+
+
+def edges_clash(e: Column, f: Column) -> Column:
+    """Two edges make a polygon invalid: they cross or run along each other, or belong to one
+    ring and touch.  Neighbours may share the point between them, rings may touch in points."""
+    turn = lambda g, x, y: (g["x2"] - g["x1"]) * (y - g["y1"]) - (g["y2"] - g["y1"]) * (x - g["x1"])
+
+    def within(g: Column, x: Column, y: Column) -> Column:
+        ux, uy = g["x2"] - g["x1"], g["y2"] - g["y1"]
+        along = (x - g["x1"]) * ux + (y - g["y1"]) * uy
+        return (turn(g, x, y) == 0) & (along > 0) & (along < ux * ux + uy * uy)
+
+    ends = lambda g: [(g["x1"], g["y1"]), (g["x2"], g["y2"])]
+    (a, b), (c, d) = [[turn(g, *p) for p in ends(h)] for g, h in ((e, f), (f, e))]
+    touch = within(e, *ends(f)[0]) | within(e, *ends(f)[1]) | within(f, *ends(e)[0]) | within(f, *ends(e)[1])
+    at = lambda p, q: (p[0] == q[0]) & (p[1] == q[1])
+    same = (at(ends(e)[0], ends(f)[0]) & at(ends(e)[1], ends(f)[1])) | (at(ends(e)[0], ends(f)[1]) & at(ends(e)[1], ends(f)[0]))
+    one_ring = e["ring"] == f["ring"]
+    # Every corner of a ring begins one of its edges only.
+    twice = one_ring & at(ends(e)[0], ends(f)[0])
+    return ((a * b < 0) & (c * d < 0)) | same | twice | (touch & (one_ring | ((a == 0) & (b == 0))))
+
+
+def later_edge(e: Column, f: Column) -> Column:
+    return (e["ring"] < f["ring"]) | ((e["ring"] == f["ring"]) & (e["k"] < f["k"]))
+
+
+def meets_itself(rings: Column) -> Column:
+    """Any two edges clash; every pair is looked at, so this is for polygons of few edges."""
+    return let(
+        numbered_edges(rings),
+        lambda every: F.exists(every, lambda e: F.exists(every, lambda f: later_edge(e, f) & edges_clash(e, f))),
+    )
+
+
+def hole_outside(rings: Column) -> Column:
+    """A corner of a ring after the first lies outside the first one."""
+    shell = F.slice(rings, 1, 1)
+
+    def outside(p: Column) -> Column:
+        edge = lambda e: (
+            ((e["x2"] - e["x1"]) * (p["y"] - e["y1"]) == (e["y2"] - e["y1"]) * (p["x"] - e["x1"]))
+            & p["x"].between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+            & p["y"].between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+        )
+        return ~contains_point(shell, p["x"], p["y"]) & ~F.exists(edges(shell), edge)
+
+    return F.exists(F.flatten(F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(1)))), outside)
+
+
 def polygon_centroid(rings: Column, by_orientation: bool = False) -> Column:
     """Area centroid.  Rings after the first are holes, or, ``by_orientation``, those
     that run against the first one (parts of a multipolygon)."""

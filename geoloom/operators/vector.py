@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
+from geoloom.functions.mend import mended, ring_area
 from geoloom.functions.raster import floor_index, trunc_index
+from geoloom.runtime import cut
 
 # Rows of a polygon that are filled together.
 BAND_ROWS = 1024
+# Edges of a polygon that are compared with each other within its row.
+FEW_EDGES = 64
 
 
 def _empty() -> Column:
@@ -23,16 +28,76 @@ def _seq(lo: Column, hi: Column) -> Column:
 # -- validity and reference systems ------------------------------------------------
 
 
-def feature_reason(features: DataFrame) -> DataFrame:
-    """Add ``reason``: why a feature cannot be used, or null."""
+def _clashing(polygons: DataFrame) -> DataFrame:
+    """(_shape): polygons of which two edges clash, found by grid cells of the polygon.
+
+    ``polygons`` has _shape and rings.  A cell is as wide as the extent over the root of the
+    number of edges, so a cell holds few edges whatever their number.
+    """
+    r = F.col("rings")
+    every = polygons.select("_shape", G.numbered_edges(r).alias("_all"), *[
+        f(g(r)).alias(n) for n, f, g in (("_x1", F.array_min, G.xs), ("_x2", F.array_max, G.xs), ("_y1", F.array_min, G.ys), ("_y2", F.array_max, G.ys))
+    ])
+    extent = F.greatest(F.col("_x2") - F.col("_x1"), F.col("_y2") - F.col("_y1"))
+    each = every.select("_shape", (extent / F.ceil(F.sqrt(F.size("_all")))).alias("_w"), F.explode("_all").alias("e"))
+    at = lambda a, b, f: F.floor(f(F.col(f"e.{a}"), F.col(f"e.{b}")) / F.col("_w"))
+    cells = each.withColumn("_cx", F.explode(F.sequence(at("x1", "x2", F.least), at("x1", "x2", F.greatest)))).withColumn(
+        "_cy", F.explode(F.sequence(at("y1", "y2", F.least), at("y1", "y2", F.greatest)))
+    ).drop("_w")
+    met = cells.join(cells.withColumnRenamed("e", "f"), ["_shape", "_cx", "_cy"])
+    return met.filter(G.later_edge(F.col("e"), F.col("f")) & G.edges_clash(F.col("e"), F.col("f"))).select("_shape").distinct()
+
+
+def feature_reason(features: DataFrame, few: int = FEW_EDGES) -> DataFrame:
+    """Add ``reason``: why a feature cannot be used, or null.
+
+    A polygon is invalid if a ring is open or flat, if its edges cross, overlap or touch
+    within a ring, or if a hole leaves the shell.  Polygons of up to ``few`` edges are judged
+    within their row, others by a join of their edges on grid cells.
+    """
     rings = F.col("rings")
     polygon = F.col("geom_type").isin("Polygon", "MultiPolygon")
-    return features.withColumn(
+    many = F.size(F.flatten(rings)) > few
+    outside = (F.col("geom_type") == "Polygon") & (F.size(rings) > 1) & G.hole_outside(rings)
+    small = F.when(many, F.lit(False)).otherwise(G.meets_itself(rings))
+    shaped = features.withColumn("_shape", F.when(polygon & many, F.xxhash64("rings")))
+    large = _clashing(shaped.filter(F.col("_shape").isNotNull()).select("_shape", "rings").dropDuplicates(["_shape"]))
+    marked = shaped.join(large.withColumn("_clash", F.lit(True)), "_shape", "left")
+    return marked.withColumn(
         "reason",
         F.when(rings.isNull(), "missing geometry")
         .when(~G.is_present(rings), "empty geometry")
-        .when(polygon & ~G.is_valid_polygon(rings), "invalid geometry"),
-    )
+        .when(polygon & ~G.is_valid_polygon(rings), "invalid geometry")
+        .when(polygon & (F.coalesce(F.col("_clash"), F.lit(False)) | small | outside), "invalid geometry"),
+    ).select(*features.columns, "reason")
+
+
+def mend(features: DataFrame, few: int = FEW_EDGES) -> DataFrame:
+    """Features with invalid polygons replaced by the area they wind around, others as they are.
+
+    What winds around nothing stays invalid.  A mended polygon of several shells becomes a
+    multipolygon.  Only invalid polygons leave the JVM, each within its own row.
+    """
+    marked = feature_reason(features, few)
+    # Stored: few rows, and the repair is not to be planned below the judgement.
+    broken = cut(marked.filter("reason = 'invalid geometry'").drop("reason"))
+    kind = features.schema["rings"].dataType.simpleString()
+
+    @F.pandas_udf(f"rings {kind}, shells int")
+    def repaired(rings: pd.Series, geom_type: pd.Series) -> pd.DataFrame:
+        out, shells = [], []
+        for every, of in zip(rings, geom_type):
+            plain = [[(float(p["x"]), float(p["y"])) for p in ring] for ring in ([] if every is None else every)]
+            new = mended(plain, of == "MultiPolygon")
+            shells.append(sum(ring_area(r) > 0 for r in new))
+            out.append([[{"x": x, "y": y} for x, y in ring] for ring in new])
+        return pd.DataFrame({"rings": out, "shells": pd.Series(shells, dtype="int32")})
+
+    fixed = broken.withColumn("_m", repaired("rings", "geom_type"))
+    fixed = fixed.withColumn("rings", F.when(F.col("_m.shells") > 0, F.col("_m.rings")).otherwise(F.col("rings")))
+    fixed = fixed.withColumn("geom_type", F.when(F.col("_m.shells") > 1, "MultiPolygon").otherwise(F.col("geom_type")))
+    sound = marked.filter("reason is null or reason != 'invalid geometry'").drop("reason")
+    return sound.unionByName(fixed.select(*features.columns))
 
 
 def split_features(features: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -108,6 +108,32 @@ def valid_features(spark, sf):
     return both.groupBy("raster_id", "reason").agg(F.count("*").alias("n"))
 
 
+def _crooked(spark, sf):
+    """Triangles, some turned into bow-ties with one larger wing, others with a spike."""
+    f = T.triangles(spark, sf, "l_quantity")
+    p = F.element_at(F.element_at("rings", 1), 1)
+    leg = F.element_at(F.element_at("rings", 1), 2)["x"] - p["x"]
+    at = lambda x, y: F.struct((p["x"] + x * leg).alias("x"), (p["y"] + y * leg).alias("y"))
+    path = lambda *points: F.array(F.array(*[at(x, y) for x, y in points]))
+    bow = path((0, 0), (6, 6), (6, -2), (0, 4), (0, 0))
+    spike = path((0, 0), (1, 0), (3, 0), (1, 0), (0, 1), (0, 0))
+    kind = (F.col("l_quantity") % 3).cast("int")
+    return f.withColumn("rings", F.when(kind == 0, bow).when(kind == 1, spike).otherwise(F.col("rings"))).drop("l_quantity")
+
+
+@query("mended_features", f"""WITH {S.TRIANGLES}, q AS (SELECT l_suppkey AS raster_id, CAST(l_quantity % 3 AS INTEGER) AS k, 3 + l_quantity % 7 AS leg FROM lineitem)
+SELECT raster_id, count(*) AS features, CAST(sum(CASE WHEN k = 2 THEN 0 ELSE 1 END) AS BIGINT) AS broken,
+  round(sum(CASE k WHEN 0 THEN 16 ELSE 0.5 END * leg * leg), 3)::DOUBLE AS area FROM q GROUP BY ALL""")
+def mended_features(spark, sf):
+    """Bow-ties keep their larger wing and spikes go; all features are valid afterwards."""
+    crooked = _crooked(spark, sf)
+    broken = V.feature_reason(crooked).groupBy("raster_id").agg(F.count("reason").alias("broken"))
+    good, _ = V.split_features(V.mend(crooked))
+    area = F.aggregate("rings", F.lit(0.0), lambda s, ring: s + G.ring_area(ring))
+    per = good.groupBy("raster_id").agg(F.count("*").alias("features"), F.round(F.sum(F.abs(area)), 3).alias("area"))
+    return per.join(broken, "raster_id")
+
+
 @query("centroids", f"WITH {S.TRIANGLES} SELECT raster_id, feature_id, round(x0 + leg / 3, 6) AS x, round(y0 + leg / 3, 6) AS y FROM tri")
 def centroids(spark, sf):
     p = G.centroid(F.col("rings"), F.col("geom_type"))

@@ -50,7 +50,7 @@ def preprocess(
     # A layer is one file, so its features arrive in few tasks: spread them first.
     features = features.repartition("folder", "layer", "feature_id")
     placed, unknown_crs = vector.reproject(features, target_crs)
-    usable, broken = vector.split_features(placed)
+    usable, broken = vector.split_features(vector.mend(placed))
     # Three branches read the checked and placed features: they are computed once.
     usable = cut(
         usable.withColumn("stem", layer_stem(F.col("layer")))
