@@ -47,6 +47,16 @@ def predict_tiles(
     )
 
 
+def item_arrays(pixels: DataFrame, item: list[str], size: int, bands: list[str]) -> DataFrame:
+    """One row per item of ``size`` x ``size`` pixels (r, c from 0): a flat array (row, column, band).
+
+    Items of which a pixel is missing are left out; an array never holds more than the item.
+    """
+    row = F.struct((F.col("r") * size + F.col("c")).alias("at"), F.array(*[F.col(b).cast("float") for b in bands]).alias("v"))
+    packed = pixels.groupBy(*item).agg(F.array_sort(F.collect_list(row)).alias("_p")).filter(F.size("_p") == size * size)
+    return packed.select(*item, F.flatten(F.transform("_p", lambda p: p["v"])).alias("pixels"))
+
+
 def predict_items(items: DataFrame, make_predict_fn: Callable, column: str, shape: list[int], batch_size: int = 64) -> DataFrame:
     """Add ``probs`` from a predictor over fixed-shape arrays such as roof crops."""
     model = predict_batch_udf(

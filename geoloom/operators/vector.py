@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import geometry as G
 from geoloom.functions.mend import mended, ring_area
+from geoloom.functions.projection import lonlat_to_utm, utm_number, utm_to_lonlat, utm_zone
 from geoloom.functions.raster import floor_index, trunc_index
 from geoloom.runtime import cut
 
 # Rows of a polygon that are filled together.
-BAND_ROWS = 1024
+BAND_ROWS = 256
 # Edges of a polygon that are compared with each other within its row.
 FEW_EDGES = 64
 
@@ -107,24 +108,38 @@ def split_features(features: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def reproject(features: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
-    """Features in ``target``, and those whose reference system has no closed form here.
+    """Features in ``target``, and those that cannot be brought there, with ``reason``.
 
-    EPSG:4326 and EPSG:3857 convert into each other; equal or missing systems pass.
+    EPSG:4326, EPSG:3857 and the UTM zones of WGS 84 (EPSG:326zz, EPSG:327zz) convert into
+    each other, row by row, whatever mixture of systems a table holds.  Equal or missing
+    systems pass.  A feature with a point out of reach of a zone is set aside whole.
     """
-    same = F.col("crs").isNull() | (F.col("crs") == target)
-    pairs = {
-        ("EPSG:4326", "EPSG:3857"): G.lonlat_to_mercator,
-        ("EPSG:3857", "EPSG:4326"): G.mercator_to_lonlat,
-    }
-    source = {"EPSG:4326": "EPSG:3857", "EPSG:3857": "EPSG:4326"}.get(target)
-    known = same if source is None else same | (F.col("crs") == source)
-    out = features.filter(known)
-    if source is not None:
-        convert = pairs[(source, target)]
-        moved = F.transform("rings", lambda ring: F.transform(ring, lambda p: convert(p["x"], p["y"])))
-        out = out.withColumn("rings", F.when(same, F.col("rings")).otherwise(moved))
-    bad = features.filter(~known).withColumn("reason", F.lit("unknown reference system"))
-    return out.withColumn("crs", F.coalesce("crs", F.lit(target))).withColumn("crs", F.lit(target)), bad
+    crs, code, wanted = F.col("crs"), utm_number(F.col("crs")), utm_zone(target)
+    same = crs.isNull() | (crs == target)
+    known = same
+    if wanted is not None or target in ("EPSG:4326", "EPSG:3857"):
+        known = same | crs.isin("EPSG:4326", "EPSG:3857") | code.isNotNull()
+
+    def moved(p: Column) -> Column:
+        x, y = p["x"].cast("double"), p["y"].cast("double")
+        lonlat = (
+            F.when(crs == "EPSG:3857", G.mercator_to_lonlat(x, y)).when(code.isNotNull(), utm_to_lonlat(x, y, code))
+            .otherwise(F.struct(x.alias("x"), y.alias("y")))
+        )
+        if wanted is not None:
+            return G.let(lonlat, lambda q: lonlat_to_utm(q["x"], q["y"], F.lit(wanted)))
+        if target == "EPSG:3857":
+            return G.let(lonlat, lambda q: F.when(q.isNotNull(), G.lonlat_to_mercator(q["x"], q["y"])))
+        return lonlat
+
+    new = F.transform("rings", lambda ring: F.transform(ring, moved))
+    out = features.withColumn("_moved", F.when(same, F.col("rings")).when(known, new))
+    lost = F.coalesce(~same & F.exists(F.flatten("_moved"), lambda p: p.isNull()), F.lit(False))
+    reason = F.when(~known, "unknown reference system").when(lost, "outside the reference system")
+    out = out.withColumn("reason", reason)
+    bad = out.filter("reason is not null").select(*features.columns, "reason")
+    good = out.filter("reason is null").withColumns({"rings": F.col("_moved"), "crs": F.lit(target)})
+    return good.select(*features.columns), bad
 
 
 def place(features: DataFrame, meta: DataFrame) -> DataFrame:
@@ -233,45 +248,56 @@ def features_in_strips(features: DataFrame, strips: DataFrame, reach: int) -> Da
 # -- burning ----------------------------------------------------------------------------
 
 
-def _fill(polygons: DataFrame) -> DataFrame:
-    """Pixels whose centre lies inside, row by row.
+def _fill(bands: DataFrame) -> DataFrame:
+    """Pixels whose centre lies inside, one row band of a feature at a time.
 
-    A row's crossings with the edges are sorted and paired; each pair spans the centres
-    right of the first and up to the second.  Everything happens within the feature's
-    own row: no join, no window.
+    Each edge gives its crossings with the rows of the band, and no other rows are looked
+    at.  A closed ring crosses a row an even number of times, so the crossings in order of
+    (row, place) pair up; a pair spans the centres right of the first and up to the second.
     """
-    y = F.col("r") + 0.5
-    crossing = F.filter("_edges", lambda e: (e["y1"] <= y) != (e["y2"] <= y))
-    x_at = lambda e: e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"])
-
-    def spans(x: Column) -> Column:
-        pairs = _seq(F.lit(0), F.floor(F.size(x) / 2).cast("int") - 1)
-        return F.transform(
-            pairs,
-            lambda k: F.struct(
-                F.greatest(F.lit(0), F.floor(F.get(x, 2 * k) + 0.5)).alias("c1"),
-                F.least(F.col("width") - 1, F.floor(F.get(x, 2 * k + 1) + 0.5) - 1).alias("c2"),
-            ),
-        )
+    top, end = F.col("_b"), F.least(F.col("_r2") + 1, F.col("_b") + BAND_ROWS)
+
+    def crossings(e: Column) -> Column:
+        # Row r is crossed where its centre r + 0.5 lies in [low, high).
+        low, high = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+        first, last = F.greatest(top, F.ceil(low - 0.5)), F.least(end, F.ceil(high - 0.5)) - 1
+        return F.transform(_seq(first, last), lambda r: F.struct(
+            r.alias("r"), (e["x1"] + (r + 0.5 - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"])).alias("x")
+        ))
 
-    crossings = F.sort_array(F.transform(crossing, x_at))
-    out = polygons.withColumn("_s", F.explode(G.let(crossings, spans)))
-    return out.withColumn("c", F.explode(_seq(F.col("_s.c1"), F.col("_s.c2"))))
+    def spans(q: Column) -> Column:
+        pairs = _seq(F.lit(0), F.floor(F.size(q) / 2).cast("int") - 1)
+        return F.transform(pairs, lambda k: F.struct(
+            F.get(q, 2 * k)["r"].alias("r"),
+            F.greatest(F.lit(0), F.floor(F.get(q, 2 * k)["x"] + 0.5)).alias("c1"),
+            F.least(F.col("width") - 1, F.floor(F.get(q, 2 * k + 1)["x"] + 0.5) - 1).alias("c2"),
+        ))
+
+    every = F.sort_array(F.flatten(F.transform("_edges", crossings)))
+    out = bands.withColumn("_s", F.explode(G.let(every, spans)))
+    return out.withColumn("r", F.col("_s.r")).withColumn("c", F.explode(_seq(F.col("_s.c1"), F.col("_s.c2"))))
 
 
 def _polygon_pixels(features: DataFrame) -> DataFrame:
-    boxed = _with_box(features).withColumn("_edges", G.edges(F.col("rings")))
+    # An open ring is closed here, so that every row is crossed evenly.
+    closed = F.transform("rings", lambda ring: F.concat(ring, F.slice(ring, 1, 1)))
+    boxed = _with_box(features).withColumn("_edges", G.edges(closed))
     boxed = boxed.withColumn("_r1", F.greatest(F.lit(0), F.floor("_y1")).cast("int")).withColumn(
         "_r2", F.least(F.col("height") - 1, F.floor("_y2")).cast("int")
-    )
-    # A layer is often one file and a lake may span the raster, so features are cut into
-    # row bands and spread evenly before they fan out to pixels.
-    bands = boxed.filter("_r1 <= _r2").select(
-        "raster_id", "feature_id", "layer_ord", "class_id", "width", "_edges", "_r2",
-        F.explode(F.sequence(F.col("_r1"), F.col("_r2"), F.lit(BAND_ROWS))).alias("_b"),
-    ).repartition("raster_id", "feature_id", "_b")
-    rows = bands.withColumn("r", F.explode(_seq(F.col("_b"), F.least(F.col("_r2"), F.col("_b") + BAND_ROWS - 1))))
-    return _fill(rows).select("raster_id", "layer_ord", "class_id", "r", "c")
+    ).filter("_r1 <= _r2").withColumn("_shape", F.xxhash64("rings"))
+    # A layer is often one file and a lake may span the raster: edges are filed under the
+    # row bands they meet, once, and bands are spread evenly before they fan out to pixels.
+    shape = ["raster_id", "feature_id", "_shape", "layer_ord", "class_id", "width", "_r2"]
+    edges = boxed.select(*shape, "_r1", F.posexplode("_edges").alias("_n", "_e"))
+    band = lambda c: F.floor(c / BAND_ROWS).cast("int")
+    low = F.greatest(F.col("_r1"), F.ceil(F.least("_e.y1", "_e.y2") - 0.5))
+    high = F.least(F.col("_r2"), F.ceil(F.greatest("_e.y1", "_e.y2") - 0.5) - 1)
+    filed = edges.filter(low <= high).withColumn("_k", F.explode(F.sequence(band(low), band(high))))
+    # Edges are numbered, so a feature that is listed twice is still crossed evenly.
+    found = F.collect_set(F.struct("_n", "_e")).alias("_found")
+    bands = filed.groupBy(*shape, (F.col("_k") * BAND_ROWS).alias("_b")).agg(found)
+    bands = bands.withColumn("_edges", F.transform("_found", lambda e: e["_e"]))
+    return _fill(bands).select("raster_id", "layer_ord", "class_id", "r", "c")
 
 
 def _point_pixels(features: DataFrame) -> DataFrame:
@@ -295,7 +321,8 @@ def _line_pixels(features: DataFrame) -> DataFrame:
 
 
 def burn_pixels(features: DataFrame) -> DataFrame:
-    """(raster_id, layer_ord, class_id, r, c) for every pixel a feature covers.
+    """(raster_id, layer_ord, class_id, r, c) for every pixel a feature covers;
+    a polygon listed twice counts once.
 
     ``features`` carry pixel rings with ``height`` and ``width`` of their raster.
     """

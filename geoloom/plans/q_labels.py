@@ -84,6 +84,24 @@ def negative_tiles(spark, sf):
     return _labels(spark, sf)[1]
 
 
+@query("negatives_on_data", f"""WITH {S.META}, pos AS (SELECT raster_id, raster_id * 31 % 80 AS tile_r, raster_id * 17 % 40 AS tile_c FROM meta),
+px AS (SELECT vec_id // 100 AS raster_id, vec_id % 100 AS r, i - 1 AS c FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)
+  WHERE i > 33 AND floor(embedding[i]::DOUBLE * 400 + 128) >= 10),
+t AS (SELECT raster_id, t AS try, CAST(('0x' || substring(md5(raster_id || '/' || t || ':42'), 1, 8))::BIGINT % (greatest(height - 16, 0) + 1) AS INTEGER) AS tile_r,
+  CAST(('0x' || substring(md5(raster_id || '/' || t || ':43'), 1, 8))::BIGINT % (width - 15) AS INTEGER) AS tile_c FROM meta, range(50) a(t)),
+ok AS (SELECT raster_id, try, tile_r, tile_c, row_number() OVER (PARTITION BY raster_id ORDER BY try) AS rn FROM t
+  WHERE NOT EXISTS (SELECT 1 FROM pos p WHERE p.raster_id = t.raster_id AND abs(p.tile_r - t.tile_r) < 16 AND abs(p.tile_c - t.tile_c) < 16)
+    AND EXISTS (SELECT 1 FROM px p WHERE p.raster_id = t.raster_id AND p.r >= t.tile_r AND p.r < t.tile_r + 16 AND p.c >= t.tile_c AND p.c < t.tile_c + 16))
+SELECT raster_id, CAST(try AS INTEGER) AS try, tile_r, tile_c FROM ok WHERE rn <= 5""")
+def negatives_on_data(spark, sf):
+    """Rasters without data left of column 33: tries that see nothing brighter are rejected."""
+    meta = T.raster_meta(spark, sf)
+    tiles = meta.selectExpr("raster_id", "raster_id * 31 % 80 as tile_r", "raster_id * 17 % 40 as tile_c")
+    rgb = T.rgb(spark, sf)
+    data = rgb.select("raster_id", "r", "c", *[F.when(F.col("c") < 33, 0).otherwise(F.col("b1")).alias(b) for b in ("b1", "b2", "b3")])
+    return L.negative_tiles(tiles, meta, 16, 5.0, SEED, data, 10)
+
+
 @query("yolo_text", f"""WITH RECURSIVE {_NEG}
 SELECT raster_id, printf('infra_%d_%06d_%06d', raster_id, tile_r, tile_c) AS name, obj_id,
   printf('%d %.6f %.6f %.6f %.6f', class_id, cx, cy, bw, bh) AS line FROM lab

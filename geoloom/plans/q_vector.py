@@ -186,18 +186,18 @@ def geo_pixel(spark, sf):
 
 
 _CUST = """cust AS (SELECT c_custkey AS feature_id, CAST(c_custkey * 17 % 360 - 180 AS DOUBLE) AS lon, CAST(c_custkey * 7 % 160 - 80 AS DOUBLE) AS lat,
-  CASE WHEN c_nationkey < 15 THEN 'EPSG:4326' WHEN c_nationkey < 20 THEN 'EPSG:3857' ELSE 'EPSG:32644' END AS crs FROM customer)"""
+  CASE WHEN c_nationkey < 15 THEN 'EPSG:4326' WHEN c_nationkey < 20 THEN 'EPSG:3857' ELSE 'EPSG:27700' END AS crs FROM customer)"""
 
 
 def _points(spark, sf):
     return T.table(spark, sf, "customer").selectExpr(
         "c_custkey as feature_id",
         "array(array(named_struct('x', cast(c_custkey * 17 % 360 - 180 as double), 'y', cast(c_custkey * 7 % 160 - 80 as double)))) as rings",
-        "case when c_nationkey < 15 then 'EPSG:4326' when c_nationkey < 20 then 'EPSG:3857' else 'EPSG:32644' end as crs",
+        "case when c_nationkey < 15 then 'EPSG:4326' when c_nationkey < 20 then 'EPSG:3857' else 'EPSG:27700' end as crs",
     )
 
 
-@query("reproject_3857", f"""WITH {_CUST} SELECT feature_id, CASE crs WHEN 'EPSG:32644' THEN 'unknown reference system' END AS reason,
+@query("reproject_3857", f"""WITH {_CUST} SELECT feature_id, CASE crs WHEN 'EPSG:27700' THEN 'unknown reference system' END AS reason,
   CASE crs WHEN 'EPSG:4326' THEN round(6378137 * radians(lon), 4) WHEN 'EPSG:3857' THEN lon END AS x,
   CASE crs WHEN 'EPSG:4326' THEN round(6378137 * ln(tan(pi() / 4 + radians(lat) / 2)), 4) WHEN 'EPSG:3857' THEN lat END AS y FROM cust""")
 def reproject_3857(spark, sf):
@@ -209,8 +209,61 @@ def reproject_3857(spark, sf):
 
 
 @query("reproject_4326", f"""WITH {_CUST} SELECT feature_id, CASE crs WHEN 'EPSG:3857' THEN round(degrees(lon / 6378137), 9) ELSE lon END AS x,
-  CASE crs WHEN 'EPSG:3857' THEN round(degrees(2 * atan(exp(lat / 6378137)) - pi() / 2), 9) ELSE lat END AS y FROM cust WHERE crs <> 'EPSG:32644'""")
+  CASE crs WHEN 'EPSG:3857' THEN round(degrees(2 * atan(exp(lat / 6378137)) - pi() / 2), 9) ELSE lat END AS y FROM cust WHERE crs <> 'EPSG:27700'""")
 def reproject_4326(spark, sf):
     good, _ = V.reproject(_points(spark, sf), "EPSG:4326")
     p = F.element_at(F.element_at("rings", 1), 1)
     return good.select("feature_id", F.round(p["x"], 9).alias("x"), F.round(p["y"], 9).alias("y"))
+
+
+# The classical route: meridian arc and powers of the distance from the meridian in cosines of latitude.
+_UTM = """p AS (SELECT c_custkey AS feature_id, CAST(c_custkey % 7 - 3 AS DOUBLE) / 1.5 AS away, CAST(c_custkey * 7 % 160 - 80 AS DOUBLE) AS lat,
+  c_custkey * 11 % 60 + 1 AS zone FROM customer),
+a AS (SELECT *, radians(away) * cos(radians(lat)) AS a, radians(lat) AS phi, 0.0066943799901413165::DOUBLE AS e2, 6378137.0::DOUBLE AS r FROM p),
+b AS (SELECT *, r / sqrt(1 - e2 * sin(phi) * sin(phi)) AS nu, tan(phi) * tan(phi) AS t, e2 / (1 - e2) * cos(phi) * cos(phi) AS c,
+  r * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256 - 175 * e2 ** 4 / 16384) * phi
+    - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024 + 105 * e2 ** 4 / 4096) * sin(2 * phi)
+    + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024 + 525 * e2 ** 4 / 16384) * sin(4 * phi)
+    - (35 * e2 ** 3 / 3072 + 175 * e2 ** 4 / 12288) * sin(6 * phi) + 315 * e2 ** 4 / 131072 * sin(8 * phi)) AS m FROM a),
+u AS (SELECT feature_id, zone, lat, zone * 6 - 183 + away AS lon,
+  500000 + 0.9996 * nu * (a + (1 - t + c) * a ** 3 / 6 + (5 - 18 * t + t * t + 14 * c - 58 * t * c) * a ** 5 / 120
+    + (61 - 479 * t + 179 * t * t - t ** 3) * a ** 7 / 5040) AS x,
+  CASE WHEN lat < 0 THEN 10000000 ELSE 0 END + 0.9996 * (m + nu * tan(phi) * (a * a / 2 + (5 - t + 9 * c + 4 * c * c) * a ** 4 / 24
+    + (61 - 58 * t + t * t + 270 * c - 330 * t * c) * a ** 6 / 720)) AS y FROM b)"""
+
+
+def _zoned(spark, sf):
+    """Customers up to two degrees from the meridians of all sixty zones, in EPSG:4326."""
+    return T.table(spark, sf, "customer").selectExpr(
+        "c_custkey as feature_id", "cast(c_custkey * 7 % 160 - 80 as double) as lat", "c_custkey * 11 % 60 + 1 as zone",
+        "(c_custkey % 7 - 3) / 1.5D as away",
+    ).selectExpr("*", "array(array(named_struct('x', zone * 6 - 183 + away, 'y', lat))) as rings", "'EPSG:4326' as crs")
+
+
+@query("reproject_to_utm", f"""WITH {_UTM}, v AS (SELECT *, least(abs(lon - 87), 360 - abs(lon - 87)) <= 30 AS near FROM u)
+SELECT feature_id, CASE WHEN NOT near THEN 'outside the reference system' END AS reason, CASE WHEN zone = 45 THEN round(x, 1) END AS x,
+  CASE WHEN zone = 45 THEN round(y - CASE WHEN lat < 0 THEN 10000000 ELSE 0 END, 1) END AS y FROM v""")
+def reproject_to_utm(spark, sf):
+    """One zone for all: the classical series of the SQL holds in that zone, so coordinates are compared there."""
+    good, bad = V.reproject(_zoned(spark, sf), "EPSG:32645")
+    p = F.element_at(F.element_at("rings", 1), 1)
+    own = F.col("zone") == 45
+    ok = good.select(
+        "feature_id", F.lit(None).cast("string").alias("reason"),
+        F.when(own, F.round(p["x"], 1)).alias("x"), F.when(own, F.round(p["y"], 1)).alias("y"),
+    )
+    null = F.lit(None).cast("double")
+    return ok.unionByName(bad.select("feature_id", "reason", null.alias("x"), null.alias("y")))
+
+
+@query("reproject_from_utm", f"WITH {_UTM} SELECT feature_id, round(lon, 8) AS x, round(lat, 8) AS y FROM u")
+def reproject_from_utm(spark, sf):
+    """Grid coordinates of 120 systems in one table, back to EPSG:4326."""
+    from geoloom.functions.projection import lonlat_to_utm
+
+    code = F.when(F.col("lat") < 0, 32700).otherwise(32600) + F.col("zone")
+    moved = F.transform("rings", lambda ring: F.transform(ring, lambda p: lonlat_to_utm(p["x"], p["y"], code)))
+    grid = _zoned(spark, sf).withColumn("rings", moved).withColumn("crs", F.format_string("EPSG:%d", code))
+    good, _ = V.reproject(grid, "EPSG:4326")
+    p = F.element_at(F.element_at("rings", 1), 1)
+    return good.select("feature_id", F.round(p["x"], 8).alias("x"), F.round(p["y"], 8).alias("y"))

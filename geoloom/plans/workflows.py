@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.functions import ensemble
 from geoloom.functions.text import layer_stem
 from geoloom.model import (
     INFRA_CLASSES,
@@ -19,7 +20,7 @@ from geoloom.model import (
     RoofParams,
     SegmentationParams,
 )
-from geoloom.operators import blend, detect, grid, inventory, labels, mask, metrics, vector, vectorise
+from geoloom.operators import blend, detect, grid, inventory, labels, mask, metrics, resample, vector, vectorise
 from geoloom.runtime import cut
 from geoloom.sources.files import attribute
 
@@ -34,12 +35,14 @@ def preprocess(
     roof: RoofParams = RoofParams(),
     det: DetectParams = DetectParams(),
     failures: DataFrame | None = None,
+    rgb: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Rasters and layers of their folders to mask, tiles, crops and detection labels.
 
     ``features`` has folder, layer (file name), feature_id, geom_type, rings, attrs, crs.
     Rasters in ``failures`` (raster_id, reason) and those whose metadata rule them out are
-    left out and listed under ``failures``; the others go on.
+    left out and listed under ``failures``; the others go on.  With ``rgb`` (raster_id, r, c,
+    b1, b2, b3) negatives that lie on blank pixels are rejected.
     """
     failed = meta.select("raster_id", grid.header_reason().alias("reason")).filter("reason is not null")
     if failures is not None:
@@ -82,7 +85,7 @@ def preprocess(
     objects = cut(objects)
     tiled = cut(labels.centred_tiles(objects, meta, det.tile_size))
     encoded = labels.encode_labels(tiled, objects, meta, det.tile_size, INFRA_CLASSES)
-    negatives = labels.negative_tiles(tiled, meta, det.tile_size, det.neg_ratio, seg.seed)
+    negatives = labels.negative_tiles(tiled, meta, det.tile_size, det.neg_ratio, seg.seed, rgb, det.blank_level)
     return {
         "mask": burned,
         "tiles": tiles,
@@ -110,9 +113,16 @@ def preprocess_totals(meta: DataFrame, out: dict[str, DataFrame]) -> DataFrame:
 
 
 def segment(
-    meta: DataFrame, rgb: DataFrame, make_predict_fn: Callable, seg: SegmentationParams = SegmentationParams(), batch_size: int = 16
+    meta: DataFrame, rgb: DataFrame, make_predict_fn: Callable, seg: SegmentationParams = SegmentationParams(), batch_size: int = 16,
+    tta: dict[str, float] | None = None,
 ) -> DataFrame:
-    """Blended class probabilities from a caller's tile predictor."""
+    """Blended class probabilities from a caller's tile predictor.
+
+    ``tta`` (``blend.FAST_TTA`` or ``blend.FULL_TTA``) makes, predicts and undoes the variants
+    of a tile inside its batch; their weighted mean is what is blended.
+    """
+    if tta is not None:
+        make_predict_fn = ensemble.over_tiles(make_predict_fn, tta, seg.num_classes)
     tiles = grid.tile_pixels(rgb, meta, seg.patch_size, seg.overlap)
     padded = grid.pad_reflect(tiles, seg.patch_size)
     packed = blend.tile_arrays(padded, seg.patch_size, ["b1", "b2", "b3"])
@@ -120,6 +130,34 @@ def segment(
     return blend.blend(probs, seg.patch_size, seg.overlap, seg.num_classes)
 
 
+def classify_roofs(
+    buildings: DataFrame, rgb: DataFrame, meta: DataFrame, make_predict_fn: Callable, roof: RoofParams = RoofParams(),
+    steps: int = 1, block: int = 256,
+) -> DataFrame:
+    """(raster_id, region, label): the roof class of every building that can be judged.
+
+    ``buildings`` has raster_id, region and rings in map coordinates.  Each is cut out with
+    its margin by blocks of the pixel store, brought to the predictor's size by one partial
+    aggregation and predicted in batches (mean of ``steps`` variants).  Small buildings and
+    those off the raster are ``Other``; those of which pixels are missing have no row.
+    """
+    key = ["raster_id", "region"]
+    placed = buildings.join(meta.select("raster_id", "height", "width", "affine"), "raster_id")
+    boxes = cut(vector.inference_crops(placed, roof.min_crop_px, roof.pad_fraction).select(*key, "r1", "r2", "c1", "c2", "fixed_label"))
+    bands = ["b1", "b2", "b3"]
+    seen = grid.window_pixels(rgb.select("raster_id", "r", "c", *bands), boxes.filter("fixed_label is null"), block)
+    local = seen.withColumns({"r": F.col("r") - F.col("r1"), "c": F.col("c") - F.col("c1")})
+    size = F.lit(roof.crop_size)
+    sized = resample.resize(
+        local, key, bands, F.col("r2") - F.col("r1"), F.col("c2") - F.col("c1"), size, size, "linear"
+    )
+    arrays = blend.item_arrays(sized, key, roof.crop_size, bands)
+    make = ensemble.over_items(make_predict_fn, steps) if steps > 1 else make_predict_fn
+    probs = blend.predict_items(arrays, make, "pixels", [roof.crop_size, roof.crop_size, 3], roof.batch_size)
+    named = probs.select(*key, blend.roof_class(F.col("probs"), ROOF_CLASSES, roof.min_confidence).alias("label"))
+    return named.unionByName(boxes.filter("fixed_label is not null").select(*key, F.col("fixed_label").alias("label")))
+
+
 def infer(
     meta: DataFrame,
     probs: DataFrame,
@@ -130,21 +168,31 @@ def infer(
     det: DetectParams = DetectParams(),
     tolerance: float = 0.5,
     block: int = mask.BLOCK,
+    rgb: DataFrame | None = None,
+    make_roof_fn: Callable | None = None,
+    roof_steps: int = 16,
 ) -> dict[str, DataFrame]:
     """Probabilities to cleaned mask, outlines, roof labels and infrastructure points.
 
-    ``roof_probs`` has raster_id, region, probs for buildings; ``tile_boxes`` are
-    detections with tile origins.
+    Buildings are labelled from the pixels ``rgb`` by the predictor of ``make_roof_fn`` over
+    ``roof_steps`` variants, or from given ``roof_probs`` (raster_id, region, probs);
+    ``tile_boxes`` are detections with tile origins.
     """
     raw = probs.select("raster_id", "r", "c", blend.argmax(F.col("probs")).alias("class_id")).filter("class_id > 0")
     cleaned = cut(mask.clean_mask(cut(raw), meta, seg.min_building_area, seg.min_road_width, block))
     rings = cut(vectorise.ring_vertices(cleaned, block))
-    outlines = vectorise.valid_rings(vectorise.simplify(vectorise.to_map(rings, meta), tolerance, keep_topology=True))
+    outlines = cut(vectorise.valid_rings(vectorise.simplify(vectorise.to_map(rings, meta), tolerance, keep_topology=True)))
     out = {"mask": cleaned, "outlines": vectorise.with_class_names(outlines, SEG_CLASSES)}
-    if roof_probs is not None:
+    named = None
+    if make_roof_fn is not None:
+        point = lambda f: F.struct(f("x").alias("x"), f("y").alias("y"))
+        extents = outlines.filter("class_id = 1").groupBy("raster_id", "region").agg(F.array(F.array(point(F.min), point(F.max))).alias("rings"))
+        named = classify_roofs(extents, rgb, meta, make_roof_fn, roof, roof_steps)
+    elif roof_probs is not None:
         named = roof_probs.select(
             "raster_id", "region", blend.roof_class(F.col("probs"), ROOF_CLASSES, roof.min_confidence).alias("label")
         )
+    if named is not None:
         buildings = vectorise.region_summary(rings).filter("class_id = 1")
         out["buildings"] = blend.merge_roof_labels(buildings, named, ["raster_id", "region"])
     if tile_boxes is not None:
