@@ -14,7 +14,7 @@ from geoloom.runtime import cut
 
 # Rows of a polygon that are filled together.
 BAND_ROWS = 256
-# Edges of a polygon that are compared with each other within its row.
+# Edges of a polygon that are compared with each other, or looked at for all its rows, within its row.
 FEW_EDGES = 64
 
 
@@ -248,6 +248,24 @@ def features_in_strips(features: DataFrame, strips: DataFrame, reach: int) -> Da
 # -- burning ----------------------------------------------------------------------------
 
 
+def _fill_small(polygons: DataFrame) -> DataFrame:
+    """``_fill`` for polygons of few rows and edges: every row looks at all edges."""
+    rows = polygons.withColumn("r", F.explode(F.sequence("_b", "_r2")))
+    y = F.col("r") + 0.5
+    met = F.filter("_edges", lambda e: (e["y1"] <= y) != (e["y2"] <= y))
+    x_at = lambda e: e["x1"] + (y - e["y1"]) / (e["y2"] - e["y1"]) * (e["x2"] - e["x1"])
+
+    def spans(x: Column) -> Column:
+        pairs = _seq(F.lit(0), F.floor(F.size(x) / 2).cast("int") - 1)
+        return F.transform(pairs, lambda k: F.struct(
+            F.greatest(F.lit(0), F.floor(F.get(x, 2 * k) + 0.5)).alias("c1"),
+            F.least(F.col("width") - 1, F.floor(F.get(x, 2 * k + 1) + 0.5) - 1).alias("c2"),
+        ))
+
+    out = rows.withColumn("_s", F.explode(G.let(F.sort_array(F.transform(met, x_at)), spans)))
+    return out.withColumn("c", F.explode(_seq(F.col("_s.c1"), F.col("_s.c2"))))
+
+
 def _fill(bands: DataFrame) -> DataFrame:
     """Pixels whose centre lies inside, one row band of a feature at a time.
 
@@ -285,19 +303,25 @@ def _polygon_pixels(features: DataFrame) -> DataFrame:
     boxed = boxed.withColumn("_r1", F.greatest(F.lit(0), F.floor("_y1")).cast("int")).withColumn(
         "_r2", F.least(F.col("height") - 1, F.floor("_y2")).cast("int")
     ).filter("_r1 <= _r2").withColumn("_shape", F.xxhash64("rings"))
-    # A layer is often one file and a lake may span the raster: edges are filed under the
-    # row bands they meet, once, and bands are spread evenly before they fan out to pixels.
-    shape = ["raster_id", "feature_id", "_shape", "layer_ord", "class_id", "width", "_r2"]
-    edges = boxed.select(*shape, "_r1", F.posexplode("_edges").alias("_n", "_e"))
+    key = ["raster_id", "feature_id", "layer_ord", "class_id", "width", "_r2"]
+    small = (F.col("_r2") - F.col("_r1") < BAND_ROWS) & (F.size("_edges") <= FEW_EDGES)
+    # A layer is often one file, so features are spread evenly before they fan out to pixels.
+    few = boxed.filter(small).select(*key, F.col("_r1").alias("_b"), "_edges").repartition("raster_id", "feature_id")
+    cols = ["raster_id", "layer_ord", "class_id", "r", "c"]
+    return _fill_small(few).select(*cols).unionByName(_fill(_filed(boxed.filter(~small), key)).select(*cols))
+
+
+def _filed(boxed: DataFrame, key: list[str]) -> DataFrame:
+    """Large polygons, which may span a raster: each edge is filed, once, under the row bands it meets."""
+    edges = boxed.select(*key, "_shape", "_r1", F.posexplode("_edges").alias("_n", "_e"))
     band = lambda c: F.floor(c / BAND_ROWS).cast("int")
     low = F.greatest(F.col("_r1"), F.ceil(F.least("_e.y1", "_e.y2") - 0.5))
     high = F.least(F.col("_r2"), F.ceil(F.greatest("_e.y1", "_e.y2") - 0.5) - 1)
-    filed = edges.filter(low <= high).withColumn("_k", F.explode(F.sequence(band(low), band(high))))
+    met = edges.filter(low <= high).withColumn("_k", F.explode(F.sequence(band(low), band(high))))
     # Edges are numbered, so a feature that is listed twice is still crossed evenly.
     found = F.collect_set(F.struct("_n", "_e")).alias("_found")
-    bands = filed.groupBy(*shape, (F.col("_k") * BAND_ROWS).alias("_b")).agg(found)
-    bands = bands.withColumn("_edges", F.transform("_found", lambda e: e["_e"]))
-    return _fill(bands).select("raster_id", "layer_ord", "class_id", "r", "c")
+    bands = met.groupBy(*key, "_shape", (F.col("_k") * BAND_ROWS).alias("_b")).agg(found)
+    return bands.select(*key, "_b", F.transform("_found", lambda e: e["_e"]).alias("_edges"))
 
 
 def _point_pixels(features: DataFrame) -> DataFrame:
@@ -322,7 +346,7 @@ def _line_pixels(features: DataFrame) -> DataFrame:
 
 def burn_pixels(features: DataFrame) -> DataFrame:
     """(raster_id, layer_ord, class_id, r, c) for every pixel a feature covers;
-    a polygon listed twice counts once.
+    a large polygon listed twice counts once.
 
     ``features`` carry pixel rings with ``height`` and ``width`` of their raster.
     """

@@ -139,7 +139,8 @@ def classify_roofs(
     ``buildings`` has raster_id, region and rings in map coordinates.  Each is cut out with
     its margin by blocks of the pixel store, brought to the predictor's size by one partial
     aggregation and predicted in batches (mean of ``steps`` variants).  Small buildings and
-    those off the raster are ``Other``; those of which pixels are missing have no row.
+    those off the raster are ``Other``.  A missing pixel is bridged by its neighbours; a
+    building with a gap too wide for that has no row.
     """
     key = ["raster_id", "region"]
     placed = buildings.join(meta.select("raster_id", "height", "width", "affine"), "raster_id")
