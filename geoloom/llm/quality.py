@@ -6,10 +6,12 @@ them to ``RANK`` latent dimensions.  Shares that trigrams cannot show (words tha
 the word before, repeated lines, characters other than letters, capitals) are appended to
 the unit vector.  The labelled vectors, at most ``LOW_ROWS + HIGH_ROWS`` of them, go to
 every task; each document's cosines with all of them are computed block by block, and the
-``NEIGHBOURS`` nearest vote with weight cosine ** ``SHARPNESS``.
+``NEIGHBOURS`` nearest vote with weight cosine ** ``SHARPNESS``, the earlier labelled row
+first among equally near ones.  A vote counts for as many labelled rows as its row of the
+bounded sample stands for, so scores do not depend on the bounds.
 
 Null and empty texts have the zero vector, no neighbours, and score the share of good
-labels.  Without labels every score is 0.  Equal texts get equal scores, extra columns are
+labels among all labels.  Without labels every score is 0.  Equal texts get equal scores, extra columns are
 kept, an empty table stays empty.
 """
 
@@ -21,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from geoloom.llm.common import column
-from geoloom.llm.labelled import sample, score_column
+from geoloom.llm.labelled import class_counts, row_weights, sample, score_column
 
 LOW_ROWS, HIGH_ROWS = 2000, 4000
 TERMS, RANK = 2048, 24
@@ -74,12 +76,22 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(1e-12, np.linalg.norm(x, axis=1, keepdims=True))
 
 
+def nearest(cosines: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` largest values of each row; the first columns among equal ones."""
+    least = np.partition(cosines, -k, axis=1)[:, -k][:, None]
+    above, level = cosines > least, cosines == least
+    room = k - above.sum(1, keepdims=True)
+    taken = above | (level & (np.cumsum(level, axis=1) <= room))
+    return np.nonzero(taken)[1].reshape(len(cosines), k)
+
+
 @dataclass
 class Model:
     idf: np.ndarray
     axes: np.ndarray
     vectors: np.ndarray
     votes: np.ndarray
+    stands_for: np.ndarray
     share: float
 
     def latent(self, texts: list[str | None]) -> np.ndarray:
@@ -94,8 +106,8 @@ class Model:
             return np.full(len(texts), self.share)
         cosines = self.latent(texts) @ self.vectors.T
         k = min(NEIGHBOURS, len(self.votes))
-        near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weight = np.take_along_axis(cosines, near, 1).clip(0) ** SHARPNESS
+        near = nearest(cosines, k)
+        weight = np.take_along_axis(cosines, near, 1).clip(0) ** SHARPNESS * self.stands_for[near]
         total = weight.sum(1)
         voted = (weight * self.votes[near]).sum(1) / np.maximum(total, 1e-300)
         return np.where(total > 0, voted, self.share).clip(0, 1)
@@ -105,11 +117,12 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, low_rows: int = LOW_ROWS, high_rows: int = HIGH_ROWS) -> Model:
-    rows = sample(docs, labels, "quality", {0: low_rows, 1: high_rows})
+    per_class = {0: low_rows, 1: high_rows}
+    rows = sample(docs, labels, "quality", per_class)
     rows = rows[rows["text"] != ""]
     y = rows["y"].to_numpy(dtype=np.float64)
     if not len(y):
-        return Model(np.ones(TERMS), np.zeros((TERMS, 0)), np.zeros((0, 4)), y, 0.0)
+        return Model(np.ones(TERMS), np.zeros((TERMS, 0)), np.zeros((0, 4)), y, y, 0.0)
     texts = rows["text"].tolist()
     blocks = [texts[i : i + 256] for i in range(0, len(texts), 256)]
     x = np.concatenate([terms(b)[0].astype(np.float32) for b in blocks])
@@ -117,7 +130,11 @@ def fit(docs: DataFrame, labels: DataFrame, low_rows: int = LOW_ROWS, high_rows:
     x *= idf.astype(np.float32)
     x /= np.maximum(1e-12, np.linalg.norm(x, axis=1, keepdims=True))
     _, axes = np.linalg.eigh((x.T @ x).astype(np.float64))
-    model = Model(idf, np.ascontiguousarray(axes[:, ::-1][:, :RANK]), np.zeros((0, RANK + 4)), y, float(y.mean()))
+    counts = class_counts(labels, "quality")
+    weight = row_weights(counts, per_class)
+    stands_for = np.where(y == 1, weight[1], weight[0])
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    model = Model(idf, np.ascontiguousarray(axes[:, ::-1][:, :RANK]), np.zeros((0, RANK + 4)), y, stands_for, share)
     model.vectors = np.concatenate([model.latent(b) for b in blocks])
     return model
 

@@ -234,3 +234,19 @@ def test_infill_of_awkward_rows(spark):
     want = [(r["doc_id"], *brute_infill(r["doc_id"], r["text"])) for r in table.collect()]
     assert rows(out, *out.columns) == sorted(want, key=str)
     assert infill.transformed(empty(table)).count() == 0
+
+
+def test_quality_ties_and_weights(spark):
+    """The first columns win ties, and a sample's bounds do not move the share of good labels."""
+    from geoloom.llm import quality
+
+    c = np.random.default_rng(0).integers(0, 6, (50, 40)).astype(float)
+    for k in (1, 5, 40):
+        assert (quality.nearest(c, k) == np.sort(np.argsort(-c, axis=1, kind="stable")[:, :k], axis=1)).all()
+    texts = [f"words of document {i % 7} and more {'good' if i % 4 else 'bad'}" for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(400)], "doc_id long, quality int")
+    whole, part = quality.fit(docs, labels), quality.fit(docs, labels, low_rows=20, high_rows=20)
+    assert abs(whole.share - part.share) < 1e-12 and abs(whole.share - 0.75) < 0.05
+    # Equal votes in the bounded sample stand for more good rows than bad ones.
+    assert set(np.round(part.stands_for[part.votes == 1] / part.stands_for[part.votes == 0][0], 6)).pop() > 2
