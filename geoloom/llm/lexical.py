@@ -16,6 +16,11 @@ only if their bound is below the floor.  (3) The documents of the remaining bloc
 with all their terms.  Bounds and scores are the same whole numbers, so nothing that belongs
 to the result is ever skipped; the number of seeds changes the work and not the result.
 
+A cluster's summary is one row, so its bounds for all items are sums over one array.  A block
+that is kept is opened by the narrowest clusters in it that hold the term, and those whose own
+bound is below the floor are skipped as well.  Documents meet them by their code; codes that
+hold more than a ``CROWD``-th of all documents are dealt by row as well.
+
 Postings are kept for the terms of the items; lengths, totals and frequencies count all
 terms of all documents.  Items are searched in batches of ``MOST_TERMS`` terms (or one item),
 which bounds what a task holds of the vocabulary.
@@ -29,7 +34,6 @@ each by itself.  Extra columns are ignored, empty tables give no rows.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from functools import reduce
 
@@ -41,11 +45,10 @@ from geoloom.llm.common import column, map_rows, stored
 from geoloom.operators.scans import running
 
 # Fixed values.
-TERM = "[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 TOP = 50
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_FOLD = str.maketrans(UPPER, LOWER)
-_FIND = re.compile(TERM).findall
+# A term's bytes in UTF-8: capitals of ASCII as small letters, what stands in no term as a blank.
+_BYTES = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256)).lower()
 
 BLOCK = 64  # documents of a narrowest cluster, on average
 POSTINGS = 32  # of a list's block, on average
@@ -53,10 +56,15 @@ DEEPEST = 24
 LEVELS = 3  # bits between the prefix lengths that have summaries
 SEEDS, SEED_CLUSTERS = 1024, 4
 MOST_TERMS = 200_000
+CROWD = 256
+
+
+def split(text: str | None) -> list[bytes]:
+    return text.encode().translate(_BYTES).split() if text else []
 
 
 def terms(text: str | None) -> list[str]:
-    return _FIND(text.translate(_FOLD) if not text.isascii() else text.lower()) if text else []
+    return [t.decode() for t in split(text)]
 
 
 # -- items and counts ---------------------------------------------------------------------
@@ -79,13 +87,14 @@ def counted(docs: DataFrame, number: dict[str, int]) -> DataFrame:
     """(row, doc_id, n, ids, tfs): documents with terms, how many, and the numbered terms among them."""
 
     def make():
-        get = number.get
+        get = {t.encode(): i for t, i in number.items()}.get
 
         def rows(doc_ids, texts):
             for d, text in zip(doc_ids, texts):
-                found = terms(text)
+                found = split(text)
                 if found:
-                    tf = Counter(i for i in map(get, found) if i is not None)
+                    tf = Counter(map(get, found))
+                    tf.pop(None, None)
                     yield d, len(found), list(tf), list(tf.values())
 
         return rows
@@ -144,26 +153,66 @@ def summaries(postings: DataFrame, levels: list[int]) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
-def scored(asked: DataFrame, wants: dict[int, list[int]], floors: dict[int, int], terms_known: int) -> DataFrame:
+class Items:
+    """The items of a batch by position: their terms end to end, their floors, their open lists."""
+
+    def __init__(self, numbers: list[int], wants: list[list[int]], known: int):
+        self.numbers = np.array(numbers, dtype=np.int64)
+        self.wants = [np.array(w, dtype=np.int64) for w in wants]
+        self.floors = np.ones(len(wants), dtype=np.int64)
+        self.known = known
+        self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # shift: positions, term numbers
+
+    def laid(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers of the items at these positions end to end, and where each item begins."""
+        wants = [self.wants[i] for i in at]
+        return np.concatenate(wants), np.cumsum([0, *map(len, wants[:-1])])
+
+    def open(self, greatest: np.ndarray, shifts: np.ndarray) -> None:
+        """Lists that a result must appear in one of: the least ones, together below the floor, stay shut."""
+        found: dict[int, list[tuple[int, int]]] = {}
+        for at, want in enumerate(self.wants):
+            order = want[np.lexsort((want, greatest[want]))]
+            for i in order[np.cumsum(greatest[order]) >= self.floors[at]]:
+                found.setdefault(int(shifts[i]), []).append((at, int(i)))
+        self.lists = {s: tuple(np.array(x, dtype=np.int64) for x in zip(*pairs)) for s, pairs in found.items()}
+
+
+def packed(positions: np.ndarray) -> bytes:
+    return np.asarray(positions, dtype="<i4").tobytes()
+
+
+def scored(asked: DataFrame, items: Items) -> DataFrame:
     """(q, row, doc_id, score) of the documents' items ``qs`` where the score reaches the item's floor.
 
-    ``asked`` has row, doc_id, ids, parts and qs.  A document's contributions are laid out by
-    term number once; an item's score is the sum over its numbers.
+    ``asked`` has row, doc_id, ids, parts and qs, packed positions.  A document's contributions
+    are laid out by term number once and summed over all its items' numbers at a time.
     """
 
     def make():
-        items = {q: np.array(want, dtype=np.int64) for q, want in wants.items()}
         # Longs on Python's side: one item's score stays far below 2 ** 63.
-        line = np.zeros(terms_known, dtype=np.int64)
+        line = np.zeros(items.known, dtype=np.int64)
+        seen: dict[bytes, tuple] = {}
+
+        def layout(qs):
+            if qs not in seen:
+                at = np.frombuffer(qs, dtype="<i4")
+                flat, starts = items.laid(at)
+                # Some 32 MB of layouts stay at hand.
+                if len(seen) * max(len(flat), 1) > 4_000_000:
+                    seen.clear()
+                seen[qs] = at, flat, starts, items.floors[at]
+            return seen[qs]
 
         def rows(row, doc_id, ids, parts, qs):
             for r, d, i, p, asked_items in zip(row, doc_id, ids, parts, qs):
+                at, flat, starts, floors = layout(asked_items)
+                i = np.array(i, dtype=np.int64)
                 line[i] = p
-                for q in asked_items:
-                    score = int(line[items[q]].sum())
-                    if score >= floors.get(q, 1):
-                        yield q, r, d, score
+                scores = np.add.reduceat(line[flat], starts)
                 line[i] = 0
+                for j in np.flatnonzero(scores >= floors):
+                    yield int(items.numbers[at[j]]), r, d, int(scores[j])
 
         return rows
 
@@ -173,20 +222,115 @@ def scored(asked: DataFrame, wants: dict[int, list[int]], floors: dict[int, int]
 # -- search ------------------------------------------------------------------------------------
 
 
-def _floors(postings: DataFrame, tops: DataFrame, flat: DataFrame, wants: dict[int, list[int]], known: int, shift: int, k: int) -> dict[int, int]:
+def _floors(postings: DataFrame, clusters: DataFrame, items: Items, shift: int, k: int) -> dict[int, int]:
     """Item number to a score that ``k`` documents reach at least; items with too few seeds have none."""
-    bounds = tops.filter(F.col("shift") == shift).join(flat, "id").groupBy("q", "node").agg(F.sum("top").alias("bound"))
-    best = bounds.groupBy("q", F.pmod(F.xxhash64("node"), F.lit(SEED_CLUSTERS)).alias("g")).agg(F.max_by("node", F.struct("bound", "node")).alias("node"))
-    seeds = best.groupBy("node").agg(F.collect_list("q").alias("qs"))
+
+    def make():
+        line = np.zeros(items.known, dtype=np.int64)
+        flat, starts = items.laid(np.arange(len(items.wants)))
+
+        def rows(nodes, ids, tops):
+            # Of some clusters at a time only the best of each part goes on.
+            best: dict[int, tuple] = {}
+            for node, i, t in zip(nodes, ids, tops):
+                line[i] = t
+                bound = np.add.reduceat(line[flat], starts)
+                line[i] = 0
+                g = node % SEED_CLUSTERS
+                top, where = best.setdefault(g, (np.zeros(len(starts), dtype=np.int64), np.full(len(starts), -1)))
+                better = bound > top
+                top[better], where[better] = bound[better], node
+            for g, (top, where) in best.items():
+                for at in np.flatnonzero(where >= 0):
+                    yield int(at), g, int(where[at]), int(top[at])
+
+        return rows
+
+    bounds = map_rows(clusters.filter(F.col("shift") == shift).select("node", "ids", "tops"), make, "at int, g int, node int, bound bigint")
+    best = bounds.groupBy("at", "g").agg(F.max_by("node", F.struct("bound", "node")).alias("node"))
+    seeds: dict[int, list[int]] = {}
+    for r in best.toLocalIterator():  # SEED_CLUSTERS rows an item at most
+        seeds.setdefault(r["node"], []).append(r["at"])
+    spark = postings.sparkSession
+    seed = spark.createDataFrame([(n, packed(sorted(at))) for n, at in seeds.items()], "node int, qs binary")
     cluster = F.shiftright("code", shift)
     sizes = postings.groupBy(cluster.alias("node")).agg(F.ceil(F.count("*") / SEEDS).alias("shares"))
-    # Of an overfull cluster a share of the documents will do: any k scores give a floor.
-    some = postings.withColumn("node", cluster).join(seeds.join(sizes, "node"), "node").filter("pmod(xxhash64(row), shares) = 0")
+    # Bounded like the items: a node for each seed.  Of an overfull cluster a share of the documents will do: any k scores give a floor.
+    chosen = F.broadcast(stored(seed.join(sizes, "node"), "seeds"))
+    some = postings.withColumn("node", cluster).join(chosen, "node").filter("pmod(xxhash64(row), shares) = 0")
     kth = F.get(F.sort_array(F.collect_list("score"), asc=False), k - 1)
-    found = scored(some, wants, {}, known).groupBy("q").agg(kth.alias("floor")).filter("floor is not null")
+    found = scored(some, items).groupBy("q").agg(kth.alias("floor")).filter("floor is not null")
     return dict(tuple(r) for r in found.toLocalIterator())
 
 
+def _listed(items: Items) -> dict[int, tuple]:
+    """By shift: positions with open lists, their terms laid out, floors, and the owner and term of each list."""
+    plan = {}
+    for s, (owner, listed) in items.lists.items():
+        at, own = np.unique(owner, return_inverse=True)
+        plan[s] = at, *items.laid(at), items.floors[at], own, listed
+    return plan
+
+
+def kept_blocks(clusters: DataFrame, items: Items) -> DataFrame:
+    """(shift, node, qs): the items with an open list whose block there has a bound that reaches the floor."""
+
+    def make():
+        line = np.zeros(items.known, dtype=np.int64)
+        plan = _listed(items)
+
+        def rows(shift, nodes, ids, tops):
+            for s, node, i, t in zip(shift, nodes, ids, tops):
+                at, flat, starts, floors, own, listed = plan[s]
+                line[i] = t
+                reached = np.add.reduceat(line[flat], starts) >= floors
+                hit = (line[listed] > 0) & reached[own]
+                line[i] = 0
+                if hit.any():
+                    yield s, node, packed(at[np.unique(own[hit])])
+
+        return rows
+
+    some = clusters.filter(F.col("shift").isin(sorted(items.lists))).select("shift", "node", "ids", "tops")
+    return stored(map_rows(some, make, "shift int, node int, qs binary"), "kept-blocks")
+
+
+def opened(clusters: DataFrame, kept: DataFrame, items: Items) -> DataFrame:
+    """(code, qs): the narrowest clusters that kept blocks lead to, with the items whose floor they can reach."""
+    narrow = clusters.filter("shift = 0").select(F.col("node").alias("code"), "ids", "tops")
+    shifts = F.array(*[F.lit(s).cast("int") for s in sorted(items.lists)]).cast("array<int>")
+    above = narrow.select("code", F.explode(shifts).alias("shift")).withColumn("node", F.expr("shiftright(code, shift)"))
+    blocks = above.join(kept, ["shift", "node"]).groupBy("code").agg(F.collect_list("shift").alias("at"), F.collect_list("qs").alias("qs"))
+
+    def make():
+        line = np.zeros(items.known, dtype=np.int64)
+        plan = _listed(items)
+        everyone, starts = items.laid(np.arange(len(items.wants)))
+
+        def rows(codes, ids, tops, at, qs):
+            for code, i, t, levels, kept_qs in zip(codes, ids, tops, at, qs):
+                line[i] = t
+                reached = np.add.reduceat(line[everyone], starts) >= items.floors
+                found = np.zeros(len(reached), dtype=bool)
+                for s, packed_qs in zip(levels, kept_qs):
+                    known = np.zeros(len(reached), dtype=bool)
+                    known[np.frombuffer(packed_qs, dtype="<i4")] = True
+                    who, _, _, _, own, listed = plan[s]
+                    owner = who[own]
+                    found[owner[(line[listed] > 0) & known[owner] & reached[owner]]] = True
+                line[i] = 0
+                if found.any():
+                    yield code, packed(np.flatnonzero(found))
+
+        return rows
+
+    return stored(map_rows(narrow.join(blocks, "code").select("code", "ids", "tops", "at", "qs"), make, "code int, qs binary"), "opened")
+
+
+def _none(items: DataFrame) -> DataFrame:
+    return items.filter("false").selectExpr("item_id", "0 as rank", "0L as doc_id", "0L as score")
+
+
 def _search(docs: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
     """Results of one batch of items, whose terms and floors the driver and the tasks hold."""
     vocabulary = [r[0] for r in items.select(F.explode("terms").alias("t")).distinct().orderBy("t").toLocalIterator()]
@@ -204,30 +348,32 @@ def _search(docs: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
     shifts = np.array([min(levels[-1], -(-max(s, 0) // LEVELS) * LEVELS) for s in wide], dtype=np.int64)
     postings = placed(counts, weights, df / max(documents, 1), shifts, documents, max(length, 1), depth)
     tops = summaries(postings, levels)
+    both = F.collect_list(F.struct("id", "top"))
+    clusters = tops.groupBy("shift", "node").agg(both.alias("b")).select("shift", "node", F.col("b.id").alias("ids"), F.col("b.top").alias("tops"))
+    clusters = stored(clusters, "clusters")
 
     wants = {r["q"]: [number[t] for t in r["terms"]] for r in items.select("q", "terms").toLocalIterator()}
-    spark = docs.sparkSession
-    flat = stored(spark.createDataFrame([(q, i) for q, want in wants.items() for i in want], "q bigint, id int"), "item-terms")
-    shift_of = spark.createDataFrame([(i, int(s)) for i, s in enumerate(shifts)], "id int, shift int")
+    batch = Items(list(wants), list(wants.values()), len(vocabulary))
+    if not wants:
+        return _none(items)
     seed_shift = next((s for s in levels if block << s >= 2 * k), levels[-1])
-    floors = _floors(postings, tops, flat, wants, len(vocabulary), seed_shift, k)
-    floor_of = spark.createDataFrame([(q, floors.get(q, 1)) for q in wants], "q bigint, floor bigint")
-
-    # Lists that a result must appear in one of: the least ones, together below the floor, are left out.
-    greatest = tops.filter(F.col("shift") == levels[-1]).groupBy("id").agg(F.max("top").alias("top"))
-    upto = Window.partitionBy("q").orderBy("top", "id").rowsBetween(Window.unboundedPreceding, 0)
-    lists = flat.join(greatest, "id").join(floor_of, "q").withColumn("together", F.sum("top").over(upto)).filter("together >= floor")
-    lists = stored(lists.join(shift_of, "id").select("q", "id", "shift", "floor"), "lists")
-
-    blocks = stored(lists.join(tops.select("shift", "id", "node"), ["shift", "id"]), "blocks")
-    terms_of = blocks.select("q", "shift", "node").distinct().join(flat, "q")
-    bounds = terms_of.join(tops, ["shift", "node", "id"]).groupBy("q", "shift", "node").agg(F.sum("top").alias("bound"))
-    kept = blocks.join(bounds, ["q", "shift", "node"]).filter("bound >= floor").groupBy("id", "node").agg(F.collect_list("q").alias("qs"))
-    kept = stored(kept, "kept-blocks")
-
-    each = postings.select("row", F.explode(F.arrays_zip("ids", "nodes")).alias("p")).select("row", F.col("p.ids").alias("id"), F.col("p.nodes").alias("node"))
-    chosen = each.join(kept, ["id", "node"]).groupBy("row").agg(F.array_distinct(F.flatten(F.collect_list("qs"))).alias("qs"))
-    found = scored(postings.join(chosen, "row"), wants, floors, len(vocabulary))
+    floors = _floors(postings, clusters, batch, seed_shift, k)
+    batch.floors = np.array([floors.get(q, 1) for q in wants], dtype=np.int64)
+    greatest = np.zeros(len(vocabulary), dtype=np.int64)
+    for i, top in tops.filter(F.col("shift") == levels[-1]).groupBy("id").agg(F.max("top")).toLocalIterator():
+        greatest[i] = top
+    batch.open(greatest, shifts)
+    if not batch.lists:  # No document has a score above 0.
+        return _none(items)
+    chosen = opened(clusters, kept_blocks(clusters, batch), batch)
+
+    # Fewer than ``CROWD`` codes hold more than such a share of the rows.
+    crowds = [r[0] for r in postings.groupBy("code").count().filter(F.col("count") * CROWD > documents).select("code").collect()]
+    crowded = F.col("code").isin(crowds) if crowds else F.lit(False)
+    parts = F.when(crowded, F.sequence(F.lit(0), F.lit(CROWD // 4 - 1))).otherwise(F.array(F.lit(0)))
+    dealt = F.when(crowded, F.pmod(F.xxhash64("row"), F.lit(CROWD // 4)).cast("int")).otherwise(0)
+    asked = postings.select("row", "doc_id", "code", "ids", "parts", dealt.alias("deal"))
+    found = scored(asked.join(chosen.withColumn("deal", F.explode(parts)), ["code", "deal"]), batch)
     order = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "row")
     best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return best.join(items.select("q", "item_id"), "q").select("item_id", "rank", "doc_id", "score")
