@@ -111,7 +111,10 @@ def weight(documents: int, df: int) -> int:
 
 
 def placed(counts: DataFrame, weights: np.ndarray, shares: np.ndarray, shifts: np.ndarray, documents: int, length: int, depth: int, seed: int = 11) -> DataFrame:
-    """(row, doc_id, code, ids, parts, nodes): contributions of the terms, the code, each term's block."""
+    """(row, doc_id, code, ids, parts, nodes, gains): contributions of the terms, the code, each term's block.
+
+    A part is the term's weight times the gain, which is a million at most.
+    """
 
     def make():
         planes = np.random.default_rng(seed).standard_normal((len(weights), max(depth, 1)), dtype=np.float32)
@@ -124,19 +127,19 @@ def placed(counts: DataFrame, weights: np.ndarray, shares: np.ndarray, shifts: n
                 i, tf = np.array(i, dtype=np.int64), np.array(tf, dtype=np.int64)
                 w = weights[i]
                 norm = 50 + (50 * m * documents) // length
-                parts = w * ((1_000_000_000 * tf) // (1000 * tf + 20 * norm))
+                gains = (1_000_000_000 * tf) // (1000 * tf + 20 * norm)
+                parts = w * gains
                 code = 0
                 if depth:
                     code = int((w @ planes[i] > mean * (float(w.sum()) / usual)) @ bits)
-                yield r, d, code, i.tolist(), parts.tolist(), (code >> shifts[i]).tolist()
+                yield r, d, code, i.tolist(), parts.tolist(), (code >> shifts[i]).tolist(), gains.tolist()
 
         return rows
 
-    placed = map_rows(
+    return map_rows(
         counts.select("row", "doc_id", "n", "ids", "tfs"), make,
-        "row bigint, doc_id bigint, code int, ids array<int>, parts array<bigint>, nodes array<int>",
+        "row bigint, doc_id bigint, code int, ids array<int>, parts array<bigint>, nodes array<int>, gains array<int>",
     )
-    return stored(placed, "postings")
 
 
 def summaries(postings: DataFrame, levels: list[int]) -> DataFrame:
@@ -154,13 +157,13 @@ def summaries(postings: DataFrame, levels: list[int]) -> DataFrame:
 
 
 class Items:
-    """The items of a batch by position: their terms end to end, their floors, their open lists."""
+    """The items of a batch by position: terms end to end, weights of the terms, floors, open lists."""
 
-    def __init__(self, numbers: list[int], wants: list[list[int]], known: int):
+    def __init__(self, numbers: list[int], wants: list[list[int]], weights: np.ndarray):
         self.numbers = np.array(numbers, dtype=np.int64)
         self.wants = [np.array(w, dtype=np.int64) for w in wants]
         self.floors = np.ones(len(wants), dtype=np.int64)
-        self.known = known
+        self.weights, self.known = weights, len(weights)
         self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # shift: positions, term numbers
 
     def laid(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +188,7 @@ def packed(positions: np.ndarray) -> bytes:
 def scored(asked: DataFrame, items: Items) -> DataFrame:
     """(q, row, doc_id, score) of the documents' items ``qs`` where the score reaches the item's floor.
 
-    ``asked`` has row, doc_id, ids, parts and qs, packed positions.  A document's contributions
+    ``asked`` has row, doc_id, ids, parts (gains) and qs, packed positions.  A document's contributions
     are laid out by term number once and summed over all its items' numbers at a time.
     """
 
@@ -208,7 +211,7 @@ def scored(asked: DataFrame, items: Items) -> DataFrame:
             for r, d, i, p, asked_items in zip(row, doc_id, ids, parts, qs):
                 at, flat, starts, floors = layout(asked_items)
                 i = np.array(i, dtype=np.int64)
-                line[i] = p
+                line[i] = items.weights[i] * p
                 scores = np.add.reduceat(line[flat], starts)
                 line[i] = 0
                 for j in np.flatnonzero(scores >= floors):
@@ -233,7 +236,7 @@ def _floors(postings: DataFrame, clusters: DataFrame, items: Items, shift: int,
             # Of some clusters at a time only the best of each part goes on.
             best: dict[int, tuple] = {}
             for node, i, t in zip(nodes, ids, tops):
-                line[i] = t
+                line[i] = items.weights[i] * t
                 bound = np.add.reduceat(line[flat], starts)
                 line[i] = 0
                 g = node % SEED_CLUSTERS
@@ -282,7 +285,7 @@ def kept_blocks(clusters: DataFrame, items: Items) -> DataFrame:
         def rows(shift, nodes, ids, tops):
             for s, node, i, t in zip(shift, nodes, ids, tops):
                 at, flat, starts, floors, own, listed = plan[s]
-                line[i] = t
+                line[i] = items.weights[i] * t
                 reached = np.add.reduceat(line[flat], starts) >= floors
                 hit = (line[listed] > 0) & reached[own]
                 line[i] = 0
@@ -309,7 +312,7 @@ def opened(clusters: DataFrame, kept: DataFrame, items: Items) -> DataFrame:
 
         def rows(codes, ids, tops, at, qs):
             for code, i, t, levels, kept_qs in zip(codes, ids, tops, at, qs):
-                line[i] = t
+                line[i] = items.weights[i] * t
                 reached = np.add.reduceat(line[everyone], starts) >= items.floors
                 found = np.zeros(len(reached), dtype=bool)
                 for s, packed_qs in zip(levels, kept_qs):
@@ -346,14 +349,16 @@ def _search(docs: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
     # The prefix that leaves a term's blocks about ``POSTINGS`` postings each.
     wide = [depth - max(0, math.ceil(math.log2(max(int(x), 1) / POSTINGS))) for x in df]
     shifts = np.array([min(levels[-1], -(-max(s, 0) // LEVELS) * LEVELS) for s in wide], dtype=np.int64)
-    postings = placed(counts, weights, df / max(documents, 1), shifts, documents, max(length, 1), depth)
+    index = placed(counts, weights, df / max(documents, 1), shifts, documents, max(length, 1), depth)
+    # Gains are half as wide as parts, and their maxima are those of the parts.
+    postings = stored(index.select("row", "doc_id", "code", "ids", F.col("gains").alias("parts")), "postings")
     tops = summaries(postings, levels)
     both = F.collect_list(F.struct("id", "top"))
     clusters = tops.groupBy("shift", "node").agg(both.alias("b")).select("shift", "node", F.col("b.id").alias("ids"), F.col("b.top").alias("tops"))
     clusters = stored(clusters, "clusters")
 
     wants = {r["q"]: [number[t] for t in r["terms"]] for r in items.select("q", "terms").toLocalIterator()}
-    batch = Items(list(wants), list(wants.values()), len(vocabulary))
+    batch = Items(list(wants), list(wants.values()), weights)
     if not wants:
         return _none(items)
     seed_shift = next((s for s in levels if block << s >= 2 * k), levels[-1])
@@ -361,7 +366,7 @@ def _search(docs: DataFrame, items: DataFrame, k: int, block: int) -> DataFrame:
     batch.floors = np.array([floors.get(q, 1) for q in wants], dtype=np.int64)
     greatest = np.zeros(len(vocabulary), dtype=np.int64)
     for i, top in tops.filter(F.col("shift") == levels[-1]).groupBy("id").agg(F.max("top")).toLocalIterator():
-        greatest[i] = top
+        greatest[i] = top * weights[i]
     batch.open(greatest, shifts)
     if not batch.lists:  # No document has a score above 0.
         return _none(items)
