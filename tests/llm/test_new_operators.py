@@ -80,6 +80,18 @@ def test_blocks_are_skipped_and_bounds_hold(spark):
     assert tops == want
 
 
+def test_ranking_with_crowded_and_other_codes(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "CROWD", 8)
+    texts, items = corpus(4, 120)
+    texts = texts + 60 * [texts[0] + " " + items[0]]  # a third of all rows has one code
+    asked = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {}
+    for r in lexical.search(docs(spark, texts), asked, 5, 4).orderBy("item_id", "rank").collect():
+        got.setdefault(r["item_id"], []).append((r["doc_id"], r["score"]))
+    best = brute_ranking(texts, items, 5)
+    assert got == {i: v for i, v in best.items() if v}
+
+
 def test_ranking_of_awkward_rows(spark):
     table = awkward(spark)
     asked = spark.createDataFrame([(1, "word7 a b"), (1, "word7 a b"), (None, "one"), (3, None), (4, "")], "item_id bigint, text string")
